@@ -19,23 +19,26 @@ def sink_columns(df, schema):
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in stored))
 
 
-def write_summary(df, schema, path=None, jdbc=None, checkpoint=None, trigger=None):
+def write_summary(df, schema, path=None, jdbc=None, checkpoint=None, trigger=None,
+                  enrich=None):
     """Append summary rows to files, or to the JDBC table in ``jdbc``.
 
+    ``enrich`` is applied to each micro-batch first; tables it reads are therefore
+    looked up as they are at that time.
+
     On files a micro-batch owns one folder and a retry overwrites it. A JDBC table gets
     a retried batch twice, as a plain insert does.
     """
-    rows = sink_columns(df, schema)
-
     def each_batch(batch, batch_id):
+        rows = sink_columns(enrich(batch) if enrich else batch, schema)
         if jdbc:
-            batch.write.format("jdbc").options(**jdbc).mode("append").save()
+            rows.write.format("jdbc").options(**jdbc).mode("append").save()
         else:
-            batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    if rows.isStreaming:
-        return start_query(rows, checkpoint, each_batch=each_batch, trigger=trigger)
-    each_batch(rows, 0)
+    if df.isStreaming:
+        return start_query(df, checkpoint, each_batch=each_batch, trigger=trigger)
+    each_batch(df, 0)
 
 
 def read_summary(spark, path):
