@@ -39,7 +39,8 @@ def _changes(spark, root, sink_table, after):
 
 def _newest_base(spark, root, sink_table):
     base = spark.read.parquet(f"{root}/base/{sink_table}")
-    upto = base.agg(F.max("upto")).first()[0]
+    # An empty base shows no number; reading then starts from the log's beginning.
+    upto = base.agg(F.coalesce(F.max("upto"), F.lit(_NONE_YET))).first()[0]
     return base.where(F.col("upto") == upto).drop("upto"), upto
 
 
