@@ -50,7 +50,7 @@ class DayChange(StatefulProcessor):
             else:
                 before = day if before is None or day > before else before
             changed = True
-            yield Row(*first[day], is_new, gap)
+            yield Row(**first[day].asDict(), is_new=is_new, gap_days=gap)
         if changed:
             if self.ttl_ms:
                 if expires is not None:

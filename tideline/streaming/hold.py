@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 
 from tideline.streaming.combine import one_per_key, ordering
@@ -32,7 +33,7 @@ class LatestHeld(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         if self.held.exists():
-            row = self.held.get()
+            row = Row(*self.schema.names)(*self.held.get())
             self.held.clear()
             yield row
 
