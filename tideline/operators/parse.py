@@ -13,6 +13,15 @@ _NOT_PAGE = ("err", "start")
 _DROPPED = ("err", "displays", "actions")
 
 
+def _kept(parsed, condition):
+    """The parsed value as zero or one row.
+
+    A plain filter on it would be pushed below the projection that computes it, and the
+    text would then be parsed once for the filter and once more for the result.
+    """
+    return F.explode(F.filter(F.array(parsed), condition))
+
+
 def parse_json(df, schema, value="value", keep=()):
     """Rows whose text is a JSON object, as the columns of ``schema``.
 
@@ -20,11 +29,9 @@ def parse_json(df, schema, value="value", keep=()):
     """
     with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     parsed = F.from_json(value, with_bad, {"columnNameOfCorruptRecord": _BAD})
-    return (
-        df.select(*keep, parsed.alias("_parsed"))
-        .where(F.col("_parsed").isNotNull() & F.col(f"_parsed.{_BAD}").isNull())
-        .select(*keep, *(F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields))
-    )
+    good = _kept(parsed, lambda p: p.isNotNull() & p[_BAD].isNull())
+    return df.select(*keep, good.alias("_parsed")).select(
+        *keep, *(F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields))
 
 
 def split_dirty(df, value="value"):
@@ -49,13 +56,15 @@ def page_view_text(df, value="value"):
 
     Works on the object's keys, so fields nobody declared pass through unchanged.
     """
-    keys = F.from_json(value, "map<string,variant>")
-    rows = df.select(keys.alias("_keys")).where(F.col("_keys").isNotNull())
-    for name in _NOT_PAGE:
-        entry = F.try_element_at("_keys", F.lit(name))
-        rows = rows.where(entry.isNull() | F.is_variant_null(entry))
-    kept = F.map_filter("_keys", lambda k, _: ~k.isin(*_DROPPED))
-    return rows.select(F.to_json(kept).alias("value"))
+    def is_page(keys):
+        condition = keys.isNotNull()
+        for name in _NOT_PAGE:
+            entry = F.try_element_at(keys, F.lit(name))
+            condition &= entry.isNull() | F.is_variant_null(entry)
+        return condition
+
+    rows = df.select(_kept(F.from_json(value, "map<string,variant>"), is_page).alias("_keys"))
+    return rows.select(F.to_json(F.map_filter("_keys", lambda k, _: ~k.isin(*_DROPPED))).alias("value"))
 
 
 def to_json_text(df, columns=None, keep_nulls=True):

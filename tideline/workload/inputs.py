@@ -12,8 +12,20 @@ from tideline.functions.time import DATE_TIME
 from tideline.schemas import ORDER_DETAIL_COLUMNS, text_struct
 
 
+FACTS = ("events", "lineitem", "orders")
+
+
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. A fact table in fewer splits than cores is spread over the cores.
+
+    That only happens to small files of one row group; a large table has many more
+    splits than cores and is read as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in FACTS and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def text(c):
