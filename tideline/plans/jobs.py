@@ -17,9 +17,10 @@ from tideline.operators.windows import with_bounds
 from tideline.plans import traffic, trade
 from tideline.plans.dimensions import route_batch
 from tideline.sinks.dimension import read_dimension
+from tideline.sinks.files import path_exists
 from tideline.sinks.summary import write_summary
 from tideline.sinks.topics import write_text_topic
-from tideline.sinks.upsert import stream_upserts, upsert_topic
+from tideline.sinks.upsert import create_upsert, stream_upserts, upsert_topic
 from tideline.sources.tables import read_lookup_table
 from tideline.sources.topics import read_changelog, read_config_stream, read_text_stream
 from tideline.streaming.run import start_query
@@ -40,6 +41,25 @@ class Warehouse:
     def topics(self):
         return f"{self.root}/topics"
 
+    def prepare(self):
+        """Create the folders of file topics and tables, so jobs may start in any order."""
+        if self.fmt != "kafka":
+            empty = self.spark.createDataFrame([], "value string")
+            for topic in (schemas.TOPIC_LOG, schemas.TOPIC_DB, schemas.TOPIC_PAGE_VIEW,
+                          schemas.TOPIC_UNIQUE_VISITOR, schemas.TOPIC_USER_JUMP, "table_process"):
+                if not path_exists(self.spark, f"{self.topics}/{topic}"):
+                    empty.write.format(self.fmt).save(f"{self.topics}/{topic}")
+        for topic, columns in ((schemas.TOPIC_ORDER_DETAIL, schemas.ORDER_DETAIL_COLUMNS),
+                               (schemas.TOPIC_PAY_DETAIL, schemas.PAY_DETAIL_COLUMNS)):
+            path = f"{self.root}/tables/{topic}"
+            if not path_exists(self.spark, path):
+                create_upsert(self.spark, path, self.shape(columns))
+        return self
+
+    @staticmethod
+    def shape(columns):
+        return schemas.text_struct(*columns).add(schemas.ROW_TIME, "timestamp")
+
     def text(self, topic):
         return read_text_stream(self.spark, topic, fmt=self.fmt, root=self.topics, options=self.options)
 
@@ -63,8 +83,7 @@ class Warehouse:
                              checkpoint=f"{self.checkpoints}/{name}", trigger=self.trigger, enrich=enrich)
 
     def upserts(self, topic, columns):
-        shape = schemas.text_struct(*columns).add(schemas.ROW_TIME, "timestamp")
-        return stream_upserts(self.spark, f"{self.root}/tables/{topic}", shape)
+        return stream_upserts(self.spark, f"{self.root}/tables/{topic}", self.shape(columns))
 
     def dictionary(self):
         return read_lookup_table(self.spark, "base_dic", root=f"{self.root}/lookup")
@@ -156,8 +175,8 @@ def user_spu_job(w):
     """Two queries: sku columns are group keys, so they are attached and logged first."""
     details = w.upserts(schemas.TOPIC_ORDER_DETAIL, schemas.ORDER_DETAIL_COLUMNS)
     path = f"{w.root}/tables/order_detail_sku"
-    shape = schemas.text_struct("id", "order_id", "user_id", "sku_id", "create_time", "split_total_amount",
-                                "spu_id", "trademark_id", "category3_id").add(schemas.ROW_TIME, "timestamp")
+    shape = w.shape(("id", "order_id", "user_id", "sku_id", "create_time", "split_total_amount",
+                     "spu_id", "trademark_id", "category3_id"))
 
     def log_sku(batch, batch_id):
         sku = w.dimension("sku_info", SPU_DIMENSIONS["sku_info"])
@@ -167,8 +186,10 @@ def user_spu_job(w):
     def enrich(batch):
         return trade.name_user_spu(batch, {n: w.dimension(n, c) for n, c in SPU_DIMENSIONS.items()})
 
+    w.spark.createDataFrame([], shape).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
     logged = start_query(details, f"{w.checkpoints}/order_detail_sku", each_batch=log_sku, trigger=w.trigger)
-    w.spark.createDataFrame([], shape).write.mode("append").parquet(f"{path}/batch_id=-1")
+    if "availableNow" in w.trigger:
+        logged.awaitTermination()
     rows = trade.user_spu_first(w.spark.readStream.schema(shape).parquet(path))
     summary = w.summarise(with_bounds(trade.user_spu_totals(rows)), schemas.USER_SPU_SUMMARY,
                           "trade_user_spu_order_window", enrich)
