@@ -53,12 +53,13 @@ def compare(spark, con, name, query, sql, sf_dir):
 
 def main():
     import __spark_entry__ as contract
-    from tideline.session import build_session
+    from pyspark.sql import SparkSession
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    spark = build_session(master="local[8]", conf={
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "8g"})
+    # A plain session: the queries bring the settings they need.
+    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.driver.memory", "8g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     queries, sql = contract.queries(), contract.oracle_sql()
