@@ -21,8 +21,8 @@ def page(mid, ms, page_id, last=None, uid="7", **more):
                        "ts": T0 + ms, **more})
 
 
-def change(table, data, kind="insert"):
-    return json.dumps({"database": "gmall", "table": table, "type": kind, "ts": 1, "xid": 1, "commit": True,
+def change(table, data, kind="insert", database="shop"):
+    return json.dumps({"database": database, "table": table, "type": kind, "ts": 1, "xid": 1, "commit": True,
                        "data": data, "old": {}})
 
 
@@ -34,7 +34,8 @@ def route(source, columns):
 
 @pytest.fixture
 def warehouse(streams, folder):
-    return jobs.Warehouse(streams, folder, f"{folder}/checkpoints", trigger={"availableNow": True}).prepare()
+    return jobs.Warehouse(streams, folder, f"{folder}/checkpoints", database="shop",
+                          trigger={"availableNow": True}).prepare()
 
 
 def put(w, topic, lines):
@@ -118,6 +119,8 @@ def test_trade_jobs(warehouse):
         change("base_category1", {"id": "2", "name": "c1"}),
         change("order_info", order), change("order_detail", detail),
         change("order_detail", {**detail, "id": "2", "sku_id": "9", "split_total_amount": "1.5"}),
+        change("order_detail", {**detail, "id": "3"}, database="elsewhere"),
+        change("order_detail", {**detail, "id": "4"}, kind="update"),
         change("order_detail_activity", {"id": "a", "order_detail_id": "1", "activity_id": "2",
                                          "activity_rule_id": "4", "create_time": "2022-05-14 00:00:01"}),
         change("payment_info", {"user_id": "83", "order_id": "10", "payment_type": "1101",

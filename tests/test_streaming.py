@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tideline.operators import dedup, flags
 from tideline.operators.bounce import bounces
 from tideline.operators.windows import window_sum_all, with_bounds, with_event_time
+from tideline.plans.left_join import left_join_batch
 from tideline.sinks.upsert import read_upsert
 from tideline.streaming.run import run_with_restarts, start_query
-from tideline.workload.streams import left_join_batch
 
 ONCE = {"availableNow": True}
 
@@ -150,12 +150,13 @@ def test_event_time_from_text(streams, folder, column, schema, data):
     assert feed.run(with_bounds(summed, stamp=False)) == [("1970-01-01 00:00:00", "1970-01-01 00:00:10", 1)]
 
 
-def test_left_join_in_the_order_of_the_reference_program(streams, folder):
+def test_left_join_with_either_side_first(streams, folder):
     """Sent 1-a, 1-b, 2-b, 2-a: each side may come first."""
     feed = Feed(streams, folder, "id string, name string, side string")
     for row in [("1", "a", "a"), ("1", "b", "b"), ("2", "bb", "b"), ("2", "aa", "a")]:
         feed.add([row])
-        start_query(feed.stream(), f"{folder}/cp", each_batch=left_join_batch(folder), trigger=ONCE).awaitTermination()
+        start_query(feed.stream(), f"{folder}/cp", each_batch=left_join_batch(folder),
+                    trigger=ONCE).awaitTermination()
     joined = read_upsert(streams, f"{folder}/joined", ("id_a",))
     assert sorted(tuple(r) for r in joined.collect()) == [("1", "1", "a", "b"), ("2", "2", "aa", "bb")]
 

@@ -34,6 +34,7 @@ class Warehouse:
     root: str
     checkpoints: str
     fmt: str = "text"
+    database: str | None = None
     options: dict = field(default_factory=dict)
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 second"})
 
@@ -136,7 +137,7 @@ def order_detail_job(w, seconds=5):
         return (trade.name_source_type(batch, w.dictionary())
                 .withColumn(schemas.ROW_TIME, processing_time()))
 
-    return w.upsert(trade.joined_changes(w.changes(), seconds), schemas.TOPIC_ORDER_DETAIL, "id", enrich)
+    return w.upsert(trade.joined_changes(w.changes(), seconds, database=w.database), schemas.TOPIC_ORDER_DETAIL, "id", enrich)
 
 
 def pay_detail_job(w, seconds=905):

@@ -46,7 +46,7 @@ def name_source_type(joined, dictionary, keep=()):
     return named.withColumnRenamed("source_type", "source_type_id").select(*ORDER_DETAIL_COLUMNS, *keep)
 
 
-def joined_changes(changes, seconds=5, delay="5 seconds", database="gmall", keep=()):
+def joined_changes(changes, seconds=5, delay="5 seconds", database=None, keep=()):
     """The four change-log views of an order detail, joined."""
     def view(table, columns):
         rows = cdc_view(changes, table, columns, database, keep=keep)
@@ -60,7 +60,7 @@ def joined_changes(changes, seconds=5, delay="5 seconds", database="gmall", keep
         seconds)
 
 
-def order_detail(changes, dictionary, seconds=5, delay="5 seconds", database="gmall"):
+def order_detail(changes, dictionary, seconds=5, delay="5 seconds", database=None):
     """The order detail table from the change log."""
     joined = joined_changes(changes, seconds, delay, database)
     return name_source_type(joined, dictionary).withColumn(ROW_TIME, processing_time())

@@ -122,7 +122,7 @@ def login_returning_gap3(spark, sf):
 
 def _view(table, columns):
     def query(spark, sf):
-        return cdc.cdc_view(inputs.trade_changelog(spark, sf), table, columns, "gmall")
+        return cdc.cdc_view(inputs.trade_changelog(spark, sf), table, columns, "shop")
     return query
 
 
@@ -131,7 +131,7 @@ def payment_success_view(spark, sf):
 
 
 def wide_details(spark, sf):
-    joined = trade.joined_changes(inputs.trade_changelog(spark, sf))
+    joined = trade.joined_changes(inputs.trade_changelog(spark, sf), database="shop")
     return trade.name_source_type(joined, inputs.base_dic(spark, sf))
 
 

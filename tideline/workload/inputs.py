@@ -128,7 +128,7 @@ TIE = ("part", "supp")
 def _change(rows, name, kind, data, seq):
     pairs = [part for key, value in data.items() for part in (F.lit(key), value)]
     return rows.select(
-        F.lit("gmall").alias("database"), F.lit(name).alias("table"), kind.alias("type"),
+        F.lit("shop").alias("database"), F.lit(name).alias("table"), kind.alias("type"),
         F.create_map(*pairs).alias("data"),
         F.create_map(F.lit("id"), list(data.values())[0]).alias("old"),
         seq.alias("seq"))
@@ -236,7 +236,7 @@ def dimension_changelog(spark, sf_dir):
 
     def rows(df, name, kind, step, data):
         pairs = [p for k, v in data.items() for p in (F.lit(k), v)]
-        return df.select(F.lit("gmall").alias("database"), F.lit(name).alias("table"),
+        return df.select(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                          F.lit(kind).alias("type"), F.create_map(*pairs).alias("data"),
                          F.lit(step).cast("bigint").alias("seq"))
 

@@ -9,19 +9,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.operators import dedup, joins
+from tideline.functions.time import DATE_TIME, row_time
+from tideline.operators import dedup
 from tideline.operators.bounce import bounces
 from tideline.operators.cdc import latest_config
 from tideline.operators.lookup import lookup_chain
 from tideline.operators.windows import window_sum_by, with_bounds, with_event_time
 from tideline.plans import traffic, trade
 from tideline.plans.dimensions import route_batch
+from tideline.plans.left_join import left_join_upsert
 from tideline.schemas import ORDER_DETAIL_COLUMNS, PAY_DETAIL_COLUMNS, dimension_schema
 from tideline.session import stream_session, work_dir
 from tideline.sinks.dimension import read_dimension
-from tideline.sinks.upsert import read_upsert, upsert_batch
+from tideline.sinks.upsert import read_upsert
 from tideline.streaming.run import run_with_restarts, start_query
-from tideline.functions.time import DATE_TIME, row_time
 from tideline.workload import batch, inputs
 from tideline.workload.inputs import TIE
 
@@ -85,7 +86,7 @@ def change_stream(spark, session, sf, folder, tables):
         data = F.create_map(*(x for k in keys for x in (F.lit(k), F.lit(f"{END}{name}"))),
                             F.lit("create_time"), F.col("_t"), F.lit("callback_time"), F.col("_t"),
                             F.lit("payment_status"), F.lit("1602"))
-        row = _shaped(later.select(F.lit("gmall").alias("database"), F.lit(name).alias("table"),
+        row = _shaped(later.select(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                                    F.lit(kind).alias("type"), data.alias("data")), changes.schema)
         closing = row if closing is None else closing.unionByName(row)
     return replay(session, changes, folder, closing)
@@ -144,7 +145,7 @@ def stream_login_returning_gap3_10s(spark, sf):
 def stream_order_detail_wide(spark, sf):
     session, folder = stream_session(spark), work_dir(spark, "stream")
     changes = change_stream(spark, session, sf, f"{folder}/in", ORDER_TABLES)
-    joined = to_table(spark, trade.joined_changes(changes).drop("event_time"), folder)
+    joined = to_table(spark, trade.joined_changes(changes, database="shop").drop("event_time"), folder)
     return trade.name_source_type(joined, inputs.base_dic(spark, sf))
 
 
@@ -217,29 +218,12 @@ def stream_window_sums(spark, sf):
 def stream_left_join_upsert(spark, sf):
     """Both sides logged as upsert tables per micro-batch, joined for the keys that changed."""
     session, folder = stream_session(spark), work_dir(spark, "stream")
-    a, b = batch.join_sides(spark, sf)
-    tagged = (a.select("id", F.col("name_a").alias("name"), F.lit("a").alias("side"))
-              .unionByName(b.select("id", F.col("name_b").alias("name"), F.lit("b").alias("side"))))
-    stream = replay(session, tagged, f"{folder}/in")
-    run_with_restarts(lambda: start_query(
-        stream, f"{folder}/checkpoint", each_batch=left_join_batch(folder), trigger=ONCE))
+    a, b = (replay(session, side, f"{folder}/{name}_in")
+            for side, name in zip(batch.join_sides(spark, sf), ("a", "b")))
+    run_with_restarts(lambda: left_join_upsert(a, b, folder, f"{folder}/checkpoint", ONCE))
     return read_upsert(spark, f"{folder}/joined", ("id_a",))
 
 
-def left_join_batch(folder):
-    """Micro-batch step of a left join of two change streams into an upsert table."""
-    def each_batch(rows, batch_id):
-        spark = rows.sparkSession
-        for side in ("a", "b"):
-            mine = rows.where(F.col("side") == side).select("id", F.col("name").alias(f"name_{side}"))
-            upsert_batch(mine, f"{folder}/{side}", ("id",), (f"name_{side}",), batch_id)
-        a = read_upsert(spark, f"{folder}/a", ("id",))
-        b = read_upsert(spark, f"{folder}/b", ("id",))
-        touched = a.join(rows.select("id").distinct(), "id", "left_semi")
-        upsert_batch(joins.left_join(touched, b), f"{folder}/joined", ("id_a",), ("name_a",), batch_id)
-    return each_batch
-
-
 def stream_dimension_snapshot(spark, sf):
     """Changes routed per micro-batch with the configuration read each time."""
     session, folder = stream_session(spark), work_dir(spark, "stream")
