@@ -118,7 +118,7 @@ def test_first_row_passes_again_after_silence(streams, folder):
 def test_latest_row_is_held_then_emitted(streams, folder):
     feed = Feed(streams, folder, VERSIONS)
     once = {"once": True}
-    last = lambda: dedup.latest_per_key_held(feed.stream(), ("id",), ("n", "arrival"), hold_ms=1500)
+    last = lambda: dedup.latest_per_key_hold(feed.stream(), ("id",), ("n", "arrival"), hold_ms=1500)
     feed.add([("a", 1, 0), ("a", 3, 0), ("a", 3, 1)])
     feed.run(last(), once)
     feed.add([("a", 2, 9), ("b", 1, 0)])

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tideline.operators.windows import WINDOW, tumbling
 from tideline.streaming.daily import first_per_day_stream
-from tideline.streaming.gap import first_per_key_gap
-from tideline.streaming.hold import latest_per_key_hold
+from tideline.streaming.gap import first_after_silence_stream
+from tideline.streaming.hold import latest_held_stream
 
 
 def _best(df, keys, order, pick):
@@ -44,14 +44,14 @@ def first_per_day(df, keys, day="day", order=("ts", "arrival"), time="event_time
 def first_per_key_ttl(df, keys, order, ttl_ms=5000):
     """First row per key; on a stream again after ``ttl_ms`` of silence of that key."""
     if df.isStreaming:
-        return first_per_key_gap(df, keys, order, ttl_ms)
+        return first_after_silence_stream(df, keys, order, ttl_ms)
     return first_per_key(df, keys, order)
 
 
-def latest_per_key_held(df, keys, order, hold_ms=5000):
+def latest_per_key_hold(df, keys, order, hold_ms=5000):
     """Latest row per key; on a stream emitted ``hold_ms`` of wall clock after the first."""
     if df.isStreaming:
-        return latest_per_key_hold(df, keys, order, hold_ms)
+        return latest_held_stream(df, keys, order, hold_ms)
     return latest_per_key(df, keys, order)
 
 

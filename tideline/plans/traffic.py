@@ -20,9 +20,13 @@ from tideline.schemas import VISIT_METRICS
 
 
 def page_view_detail(raw):
-    """``(page views, dirty)`` as text, from raw log text."""
-    good, dirty = split_dirty(raw)
-    return page_view_text(good), dirty
+    """``(page views, dirty)`` as text, from raw log text.
+
+    The page views are taken from the raw text, as that step parses it anyway and leaves
+    out what is not an object.
+    """
+    _, dirty = split_dirty(raw)
+    return page_view_text(raw), dirty
 
 
 def unique_visitors(pages, tie=(), ttl_days=None):

@@ -51,6 +51,8 @@ def stream_session(spark):
     """
     session = tune(spark.newSession())
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # A checkpoint then stores what changed and not the whole state.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     session.conf.set("spark.sql.shuffle.partitions", str(max(spark.sparkContext.defaultParallelism, 1)))
     return session
 

@@ -29,7 +29,7 @@ class FirstAfterSilence(StatefulProcessor):
         pass
 
 
-def first_per_key_gap(df, keys, order, ttl_ms):
+def first_after_silence_stream(df, keys, order, ttl_ms):
     thin = one_per_key(df, keys, order)
     return thin.groupBy(*keys).transformWithState(
         FirstAfterSilence(list(order), ttl_ms), df.schema, "append", "ProcessingTime")

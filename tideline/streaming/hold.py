@@ -41,7 +41,7 @@ class LatestHeld(StatefulProcessor):
         pass
 
 
-def latest_per_key_hold(df, keys, order, hold_ms):
+def latest_held_stream(df, keys, order, hold_ms):
     thin = one_per_key(df, keys, order, latest=True)
     return thin.groupBy(*keys).transformWithState(
         LatestHeld(df.schema, list(order), hold_ms), df.schema, "append", "ProcessingTime")

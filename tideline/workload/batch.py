@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions import scalars, time as times
 from tideline.operators import cdc, dedup, flags, joins, parse, traffic as ops
@@ -14,13 +15,13 @@ from tideline.plans import traffic, trade
 from tideline.plans.dimensions import route_batch, routed_changes
 from tideline.schemas import (
     ORDER_ACTIVITY_CDC, ORDER_COUPON_CDC, ORDER_DETAIL_CDC, ORDER_DETAIL_COLUMNS, ORDER_INFO_CDC,
-    PAY_DETAIL_COLUMNS, USER_SPU_SUMMARY, dimension_schema)
+    PAGE_LOG_TEXT, PAY_DETAIL_COLUMNS, USER_SPU_SUMMARY, dimension_schema, text_struct)
 from tideline.session import work_dir
 from tideline.sinks.dimension import compact_dimension, read_dimension
 from tideline.sinks.summary import read_summary, write_summary
 from tideline.sinks.topics import write_json_topic
 from tideline.sinks.upsert import read_upsert, upsert_topic
-from tideline.sources.topics import read_json_stream
+from tideline.sources.topics import read_changelog, read_json_stream
 from tideline.workload import inputs
 from tideline.workload.inputs import TIE
 
@@ -49,14 +50,13 @@ def parse_and_split_dirty(spark, sf):
 def page_view_log(spark, sf):
     """Page rows as text, read back: undeclared keys are still there, lists are gone."""
     pages, _ = traffic.page_view_detail(inputs.raw_log(spark, sf))
-    rows = parse.parse_page_log(pages, keep=("value",))
-    return rows.select(
-        F.get_json_object("value", "$.offset").cast("bigint").alias("arrival"),
-        F.get_json_object("value", "$.displays").alias("displays"),
-        F.get_json_object("value", "$.actions").alias("actions"),
+    shape = T.StructType([*PAGE_LOG_TEXT.fields, *text_struct("offset", "displays", "actions").fields])
+    return parse.parse_json(pages, shape).select(
+        scalars.number_of("offset", "bigint").alias("arrival"), "displays", "actions",
         F.col("common.mid").alias("mid"), F.col("common.uid").alias("uid"),
         F.col("page.page_id").alias("page_id"), F.col("page.last_page_id").alias("last_page_id"),
-        F.col("page.during_time").alias("during_time"), "ts")
+        scalars.number_of("page.during_time", "bigint").alias("during_time"),
+        scalars.number_of("ts", "bigint").alias("ts"))
 
 
 def page_view_typed(spark, sf):
@@ -152,7 +152,7 @@ def pay_detail_success(spark, sf):
 
 def latest_per_detail(spark, sf):
     rows = inputs.order_detail(spark, sf).withColumn("version", times.row_time("row_op_ts"))
-    return dedup.latest_per_key_held(rows, ("id",), ("version", *TIE)).drop("version", *TIE)
+    return dedup.latest_per_key_hold(rows, ("id",), ("version", *TIE)).drop("version", *TIE)
 
 
 def first_per_detail(spark, sf):
@@ -337,8 +337,6 @@ def topic_roundtrip(spark, sf):
 
 def changelog_roundtrip(spark, sf):
     """Change-log text read with its maps."""
-    from tideline.sources.topics import read_changelog
-
     root = work_dir(spark, "topic")
     changes = inputs.trade_changelog(spark, sf).drop("seq")
     write_json_topic(changes, "topic_db", fmt="text", root=root)
