@@ -138,7 +138,8 @@ def wide_details(spark, sf):
 def order_detail_upsert(spark, sf):
     """The joined details logged as an upsert table and read back: one row per id."""
     path = work_dir(spark, "order-detail")
-    order = [F.coalesce(c, F.lit("")) for c in ("sku_id", "activity_id", "coupon_id", "source_id")]
+    order = [F.coalesce(c, F.lit("")) for c in (
+        "sku_id", "activity_id", "coupon_id", "source_id", "order_price", "sku_num")]
     rows = wide_details(spark, sf).withColumn("version", F.concat_ws("|", *order))
     upsert_topic(rows, path, ("id",), ("version",))
     return read_upsert(spark, path, ("id",)).select(*ORDER_DETAIL_COLUMNS)

@@ -306,7 +306,8 @@ SELECT id, order_id, order_detail_id, coupon_id, coupon_use_id, sku_id, create_t
     "order_detail_wide": f"WITH {WIDE} SELECT * FROM wide",
     "order_detail_upsert": f"""WITH {WIDE} SELECT * FROM wide
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY concat_ws('|', coalesce(sku_id, ''),
-  coalesce(activity_id, ''), coalesce(coupon_id, ''), coalesce(source_id, '')) COLLATE "C" DESC) = 1""",
+  coalesce(activity_id, ''), coalesce(coupon_id, ''), coalesce(source_id, ''), order_price, sku_num)
+  COLLATE "C" DESC) = 1""",
     "pay_detail_success": f"""WITH {ORDER_DETAIL}, {CHANGES[len(ORDERS) + 1:]}
 SELECT d.id AS order_detail_id, d.order_id, d.user_id, d.sku_id, d.sku_name, d.province_id, d.activity_id,
   d.activity_rule_id, d.coupon_id, payment_type AS payment_type_code, dic_name AS payment_type_name,
