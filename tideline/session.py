@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,31 +39,29 @@ def tune(spark):
     return spark
 
 
-def stream_session(spark):
+STATE_PARTITIONS = 8
+
+
+def stream_session(spark, state_partitions=STATE_PARTITIONS):
     """A sibling session set up for stateful queries.
 
-    The number of state partitions is fixed by the first checkpoint, so it follows
-    the cores of the cluster and not the default of 200.
+    The first checkpoint of a query fixes its number of state partitions for good, so
+    the number is an explicit setting of the deployment: give it the cores of the full
+    cluster. The default suits one machine.
     """
     session = tune(spark.newSession())
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # A checkpoint then stores what changed and not the whole state.
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-    session.conf.set("spark.sql.shuffle.partitions", str(max(spark.sparkContext.defaultParallelism, 1)))
+    session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return session
 
 
 def work_dir(spark, purpose):
     """A fresh folder for checkpoints and written intermediates.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only a local
-    master may fall back to a temporary folder, removed when the process ends.
+    One rule for every master: the shared folder named by ``spark.checkpoint.dir``, else
+    the session's warehouse folder, which all executors reach as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    path = tempfile.mkdtemp(prefix=f"tideline-{purpose}-")
-    atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return os.path.join(path, "data")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
