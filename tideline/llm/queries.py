@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.llm import exact, mixing, packing, sharding
+from tideline.llm import exact, mixing, packing, sharding, simhash
 
 
 def _table(spark, sf_dir, name):
@@ -20,6 +20,11 @@ def op1_hypergeometric_shards(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_simhash_pivot_tables(spark, sf_dir):
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
 def op4_target_weights(spark, sf_dir):
     mixed = mixing.plan_mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target",
@@ -39,6 +44,7 @@ def op10_streaming_exact_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_hypergeometric_shards": op1_hypergeometric_shards,
+    "op2_simhash_pivot_tables": op2_simhash_pivot_tables,
     "op4_target_weights": op4_target_weights,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_streaming_exact_dedup": op10_streaming_exact_dedup,
