@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.llm import exact, mixing, packing, sharding, simhash
+from tideline.llm import exact, langid, mixing, packing, sharding, simhash
 
 
 def _table(spark, sf_dir, name):
@@ -31,6 +31,13 @@ def op4_target_weights(spark, sf_dir):
                         (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
+def op5_hyperdimensional_langid(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    prototypes = langid.learn(docs.filter(~langid.held_out()))
+    found = langid.identify(docs.select("doc_id", "text"), prototypes)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_sum_of_squares_packing(spark, sf_dir):
     pieces = packing.pack(_table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -46,6 +53,7 @@ QUERIES = {
     "op1_hypergeometric_shards": op1_hypergeometric_shards,
     "op2_simhash_pivot_tables": op2_simhash_pivot_tables,
     "op4_target_weights": op4_target_weights,
+    "op5_hyperdimensional_langid": op5_hyperdimensional_langid,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_streaming_exact_dedup": op10_streaming_exact_dedup,
 }
