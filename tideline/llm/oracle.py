@@ -34,6 +34,27 @@ SELECT doc_id, size, source_size, target,
     CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0
       < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.of_source
+""",
+    "op8_level_wise_doubling": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents
+), w AS (
+  SELECT r, doc_id, unnest(range(1, len(words) - 18)) AS start, words FROM d WHERE len(words) >= 20
+), h AS (
+  SELECT r, doc_id, start, array_to_string(words[start:start + 19], ' ') AS win FROM w
+), e AS (
+  SELECT r, start FROM (SELECT *, min((coalesce(doc_id, -9223372036854775808), start)) OVER (PARTITION BY win) AS first FROM h)
+  WHERE (coalesce(doc_id, -9223372036854775808), start) > first
+), g AS (
+  SELECT DISTINCT r, unnest(range(start, start + 20)) AS i FROM e
+), k AS (
+  SELECT d.r, d.doc_id, d.words, list(g.i) FILTER (g.i IS NOT NULL) AS gone
+  FROM d LEFT JOIN g ON d.r = g.r GROUP BY d.r, d.doc_id, d.words
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(
+         [words[i] FOR i IN range(1, len(words) + 1) IF NOT list_contains(coalesce(gone, []), i)], ' '), '')) AS kept_sha256
+FROM k
 """,
     "op10_streaming_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,

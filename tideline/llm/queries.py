@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.llm import exact, langid, mixing, packing, sharding, simhash
+from tideline.llm import exact, langid, mixing, packing, sharding, simhash, substrings
 
 
 def _table(spark, sf_dir, name):
@@ -38,6 +38,11 @@ def op5_hyperdimensional_langid(spark, sf_dir):
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_level_wise_doubling(spark, sf_dir):
+    cut = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=20)
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_sum_of_squares_packing(spark, sf_dir):
     pieces = packing.pack(_table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -54,6 +59,7 @@ QUERIES = {
     "op2_simhash_pivot_tables": op2_simhash_pivot_tables,
     "op4_target_weights": op4_target_weights,
     "op5_hyperdimensional_langid": op5_hyperdimensional_langid,
+    "op8_level_wise_doubling": op8_level_wise_doubling,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_streaming_exact_dedup": op10_streaming_exact_dedup,
 }
