@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.llm.common import checkpointed, quoted, without
+from tideline.llm.common import checkpointed, quoted, short_lived_shuffles, without, written
 from tideline.session import stream_session, work_dir
 
 ADDED = ("keep_id", "group_size", "kept", "text_sha256")
@@ -45,16 +45,15 @@ def exact_dedup(docs, text="text", id="doc_id", digest=None, state_partitions=No
      .write.parquet(f"{home}/content"))
     rows = spark.read.parquet(f"{home}/content")
 
-    state = _run(spark, rows, home, state_partitions, bytes_per_batch)
-    marked = (rows.join(state, "__digest")
-              .withColumn("__first", F.col("__keep.__at") == F.col("__at")))
-
-    # Full bytes on hits: every row of a group against the row kept.
-    hits = marked.filter("__n > 1").select(
-        "__digest", "__id", "__at", "__first", body.alias("__body"))
-    kept = hits.filter("__first").select("__digest", F.col("__body").alias("__other"))
-    differ = checkpointed(hits.join(kept, "__digest").filter("__body != __other")
-                          .select("__digest", "__id", "__at", "__body"))
+    with short_lived_shuffles(spark):
+        state = checkpointed(_run(spark, rows, home, state_partitions, bytes_per_batch))
+        # Full bytes on hits: every row of a group against the row kept.
+        hits = written(rows.select("__digest", "__id", "__at", body.alias("__body"))
+                       .join(state.filter("__n > 1"), "__digest"), "hits")
+        kept = hits.filter("__keep.__at = __at").select("__digest", F.col("__body").alias("__other"))
+        differ = checkpointed(hits.join(kept, "__digest").filter("__body <> __other")
+                              .select("__digest", "__id", "__at", "__body"))
+    marked = rows.join(state, "__digest")
     size, keep = F.col("__n"), F.col("__keep")
     if not differ.isEmpty():
         # Digest collisions: these rows form groups by their bytes.
