@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.llm import exact, langid, mixing, packing, sharding, simhash, substrings
+from tideline.llm import ann, exact, langid, mixing, packing, sharding, simhash, substrings
 
 
 def _table(spark, sf_dir, name):
@@ -25,6 +25,10 @@ def op2_simhash_pivot_tables(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+def op3_multiprobe_p_stable(spark, sf_dir):
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
 def op4_target_weights(spark, sf_dir):
     mixed = mixing.plan_mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target",
@@ -57,6 +61,7 @@ def op10_streaming_exact_dedup(spark, sf_dir):
 QUERIES = {
     "op1_hypergeometric_shards": op1_hypergeometric_shards,
     "op2_simhash_pivot_tables": op2_simhash_pivot_tables,
+    "op3_multiprobe_p_stable": op3_multiprobe_p_stable,
     "op4_target_weights": op4_target_weights,
     "op5_hyperdimensional_langid": op5_hyperdimensional_langid,
     "op8_level_wise_doubling": op8_level_wise_doubling,
