@@ -34,6 +34,32 @@ SELECT doc_id, size, source_size, target,
     CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0
       < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.of_source
+""",
+    "op7_content_defined_line_chunks": """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, CASE WHEN text IS NULL OR text = '' THEN [] ELSE string_split(text, chr(10)) END AS lines
+  FROM documents
+), l AS (
+  SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d
+), h AS (
+  SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l
+), b AS (
+  SELECT *, (coalesce(lag(h) OVER doc, 0) * 31 + h) % 4294967296 % 4 = 0 AS ends FROM h
+  WINDOW doc AS (PARTITION BY r ORDER BY i)
+), c AS (
+  SELECT *, coalesce(sum(CAST(ends AS INTEGER)) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
+  FROM b
+), g AS (
+  SELECT r, c, any_value(doc_id) AS doc_id, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS part
+  FROM c GROUP BY r, c HAVING count(*) > 1
+), e AS (
+  SELECT r, c FROM (SELECT *, row_number() OVER (PARTITION BY part, n ORDER BY doc_id NULLS FIRST, start) AS k FROM g) WHERE k > 1
+), k AS (
+  SELECT c.r, c.i, c.line, e.r IS NOT NULL AS gone FROM c LEFT JOIN e ON c.r = e.r AND c.c = e.c
+)
+SELECT d.doc_id, CAST(len(d.lines) AS BIGINT) AS n_lines, count(*) FILTER (k.gone) AS n_removed,
+       sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (NOT k.gone), '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.r = k.r GROUP BY d.r, d.doc_id, d.lines
 """,
     "op8_level_wise_doubling": rf"""
 WITH d AS (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.llm import ann, exact, langid, mixing, packing, sharding, simhash, substrings
+from tideline.llm import ann, exact, html_main, langid, line_chunks, mixing, packing, sharding, simhash, substrings
 
 
 def _table(spark, sf_dir, name):
@@ -42,6 +42,15 @@ def op5_hyperdimensional_langid(spark, sf_dir):
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_consensus_host_paths(spark, sf_dir):
+    return html_main.main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op7_content_defined_line_chunks(spark, sf_dir):
+    cut = line_chunks.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
 def op8_level_wise_doubling(spark, sf_dir):
     cut = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=20)
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -64,6 +73,8 @@ QUERIES = {
     "op3_multiprobe_p_stable": op3_multiprobe_p_stable,
     "op4_target_weights": op4_target_weights,
     "op5_hyperdimensional_langid": op5_hyperdimensional_langid,
+    "op6_consensus_host_paths": op6_consensus_host_paths,
+    "op7_content_defined_line_chunks": op7_content_defined_line_chunks,
     "op8_level_wise_doubling": op8_level_wise_doubling,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_streaming_exact_dedup": op10_streaming_exact_dedup,
