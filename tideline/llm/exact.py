@@ -73,6 +73,9 @@ def _run(spark, rows, home, state_partitions, bytes_per_batch):
     partitions = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     session = stream_session(spark, partitions)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    # A store is closed and its local files go when its task has committed; what lasts is
+    # its snapshot in the checkpoint folder.
+    session.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
     arrivals = (session.readStream.schema(rows.select("__digest", "__id", "__at").schema)
                 .option("maxBytesPerTrigger", bytes_per_batch).parquet(f"{home}/content"))
     # A batch owns one folder, so a batch that is run again replaces what it wrote.
