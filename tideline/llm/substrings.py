@@ -92,7 +92,7 @@ def repeated_windows(rows, base, length):
     ``rows`` has ``__row``, ``__id`` and ``__text``, and equal texts once. The first level
     tests sampled windows of ``base`` words; windows that repeat at one length alone are
     extended to twice that length, up to ``length`` or until no candidate survives. The
-    last level compares 128 bits of hash and the earliest start of every window.
+    last level compares 95 bits of hash and the earliest start of every window.
     """
     size = base
     found = rows.select("__row", "__text").mapInArrow(_first_level(base), "__row long, __start int, __low long")
@@ -104,6 +104,8 @@ def repeated_windows(rows, base, length):
         groups = found.groupBy(*key).agg(
             F.count(F.lit(1)).alias("__n"), *([F.min(F.struct("__id", "__start")).alias("__first")] if last else []))
         groups = groups.filter("__n > 1").select(*[F.col(k).alias(k + "_of") for k in key], *groups.columns[len(key) + 1:])
+        # Written, so that the join below has an exchange on both sides and can split a hot window.
+        groups = written(groups, "repeated")
         same = [F.col(k) == F.col(k + "_of") for k in key]
         repeated = found.join(groups, same)
         if last:
@@ -111,7 +113,7 @@ def repeated_windows(rows, base, length):
         starts = checkpointed(repeated.groupBy("__row").agg(F.collect_list("__start").alias("__starts")))
         if starts.isEmpty():
             return starts.select("__row", F.explode("__starts").alias("__start"))
-        columns = "__row long, __start int, __low long" + (", __id long, __high long" if 2 * size == length else "")
+        columns = "__row long, __start int, __low long" + (", __id long, __high int" if 2 * size == length else "")
         found = (rows.join(starts.withColumnRenamed("__row", "__of"), F.col("__row") == F.col("__of"))
                  .select("__row", "__text", "__id", "__starts").mapInArrow(_next_level(size, base, length), columns))
         size *= 2
@@ -143,7 +145,7 @@ def _next_level(size, base, length):
                 low = window_hashes(hashes, 2 * size)[starts]
                 found = (np.full(len(starts), row), starts.astype(np.int32), low)
                 if last:
-                    found += np.full(len(starts), id), window_hashes(hashes, 2 * size, HIGH)[starts]
+                    found += np.full(len(starts), id), (window_hashes(hashes, 2 * size, HIGH)[starts] >> np.uint64(33)).astype(np.int32)
                 out.append(found)
             yield _table(out, names)
 
@@ -182,7 +184,7 @@ def remove_repeats(docs, text="text", id="doc_id", length=20, base=10):
         order = F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(-(1 << 63)))
         rows = written(base_columns.withColumns({
             "__row": F.monotonically_increasing_id(), "__id": order, "__hash": F.md5(body.cast("binary"))}), "documents")
-        firsts = rows.groupBy("__hash").agg(F.min(F.struct("__id", "__row")).alias("__f"))
+        firsts = written(rows.groupBy("__hash").agg(F.min(F.struct("__id", "__row")).alias("__f")), "firsts")
         # Each row, the row searched in its place, and whether all its windows start earlier.
         roles = checkpointed(rows.select("__row", "__id", "__hash").join(firsts, "__hash").select(
             "__row", F.col("__f.__row").alias("__by"), (F.col("__id") > F.col("__f.__id")).alias("__copy")))
