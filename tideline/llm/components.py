@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.llm.common import checkpointed
+from tideline.llm.common import checkpointed, written
 
 
 def components(edges):
@@ -12,8 +12,8 @@ def components(edges):
 
     Returns ``node`` and ``label``, for nodes that have an edge to another. Every round
     hangs neighbours on the smallest node around them; rounds grow with the logarithm of
-    the longest path. A node with very many neighbours is reduced by partial aggregates,
-    and its side of the join is one that adaptive execution can split.
+    the longest path. A node with very many neighbours is reduced by partial aggregates;
+    the minima are written, so the join has an exchange on both sides and can split it.
     """
     now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                        .distinct())
@@ -30,13 +30,13 @@ def components(edges):
 def _large_star(edges):
     """Connect the larger neighbours of every node with the smallest node around it."""
     both = edges.select("a", "b").union(edges.select("b", "a"))
-    least = both.groupBy(F.col("a").alias("of")).agg(F.min("b").alias("m"))
+    least = written(both.groupBy(F.col("a").alias("of")).agg(F.min("b").alias("m")), "least")
     return (both.join(least, F.col("a") == F.col("of")).filter("b > a")
             .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct())
 
 
 def _small_star(edges):
     """Connect the smaller neighbours of every node, and the node, with the smallest."""
-    least = edges.groupBy(F.col("a").alias("of")).agg(F.min("b").alias("m"))
+    least = written(edges.groupBy(F.col("a").alias("of")).agg(F.min("b").alias("m")), "least")
     return (edges.join(least, F.col("a") == F.col("of")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(least.select("of", "m")).distinct())

@@ -46,7 +46,7 @@ def exact_dedup(docs, text="text", id="doc_id", digest=None, state_partitions=No
     rows = spark.read.parquet(f"{home}/content")
 
     with short_lived_shuffles(spark):
-        state = checkpointed(_run(spark, rows, home, state_partitions, bytes_per_batch))
+        state = written(_run(spark, rows, home, state_partitions, bytes_per_batch), "groups")
         # Full bytes on hits: every row of a group against the row kept.
         hits = written(rows.select("__digest", "__id", "__at", body.alias("__body"))
                        .join(state.filter("__n > 1"), "__digest"), "hits")

@@ -53,7 +53,8 @@ def remove_repeats(docs, text="text", id="doc_id", mean=4):
         rows = written(base.withColumns({"__row": F.monotonically_increasing_id(),
                                          "__id": F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(-(1 << 63)))}), "documents")
         found = rows.select("__row", body).mapInArrow(_hashed(mean), "__row long, __start int, __key binary")
-        repeated = found.groupBy("__key").count().filter("count > 1").select(F.col("__key").alias("__key_of"))
+        # Groups are written, so that joins have an exchange on both sides and can split a hot chunk.
+        repeated = written(found.groupBy("__key").count().filter("count > 1").select(F.col("__key").alias("__key_of")), "repeated")
         places = (found.join(repeated, F.col("__key") == F.col("__key_of")).groupBy("__row")
                   .agg(F.collect_list("__start").alias("__starts")).withColumnRenamed("__row", "__of"))
         # The bytes of what may repeat.
@@ -62,8 +63,8 @@ def remove_repeats(docs, text="text", id="doc_id", mean=4):
                        .mapInArrow(_fetched(mean), "__row long, __id long, __start int, __lines int, __key binary, __bytes binary"),
                        "chunks")
         order = F.struct("__id", "__start", "__row")
-        first = (hits.groupBy("__key", "__bytes").agg(F.min(order).alias("__first"))
-                 .select(F.col("__key").alias("__key_of"), F.col("__bytes").alias("__bytes_of"), "__first"))
+        first = written(hits.groupBy("__key", "__bytes").agg(F.min(order).alias("__first"))
+                        .select(F.col("__key").alias("__key_of"), F.col("__bytes").alias("__bytes_of"), "__first"), "first")
         gone = (hits.join(first, (F.col("__key") == F.col("__key_of")) & (F.col("__bytes") == F.col("__bytes_of")))
                 .filter(order > F.col("__first")).groupBy(F.col("__row").alias("__of"))
                 .agg(F.collect_list(F.struct("__start", "__lines")).alias("__gone")))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from tideline.llm.common import checkpointed, quoted
+from tideline.llm.common import checkpointed, quoted, written
 from tideline.llm.components import components
 
 HASH_SEED = 42
@@ -164,9 +164,10 @@ def near_duplicates(docs, text="text", id="doc_id", shingle=3, max_bits=3, refer
 
     Documents whose fingerprints differ in at most ``max_bits`` bits are linked; a
     component is all that links reach, and its id is the smallest identifier in it.
-    Returns ``id``, ``fingerprint`` (16 hexadecimal digits), ``component_id`` and
-    ``text_key`` (hash of the text, which tells repeated identifiers apart), one row per
-    document; ``docs`` joins on them. Only distinct fingerprints meet, so copies cost one.
+    Returns one row per document: ``id``, ``fingerprint`` (16 hexadecimal digits),
+    ``component_id``, ``group`` (a fingerprint that names the component, also where
+    identifiers repeat) and ``text_key`` (hash of the text, which tells repeated
+    identifiers apart); ``docs`` joins on ``id`` and ``text_key``. Only distinct fingerprints meet, so copies cost one.
 
     Null and empty texts have fingerprint 0 and are linked like any other. A null
     identifier is no component id unless there is no other. An empty table gives no rows.
@@ -179,10 +180,11 @@ def near_duplicates(docs, text="text", id="doc_id", shingle=3, max_bits=3, refer
     labelled = checkpointed(
         classes.join(labels, classes["fp"] == labels["node"], "left")
         .select("fp", "first", F.coalesce("label", "fp").alias("label")))
-    ids = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = labelled.join(ids, "label").select(F.col("fp").alias("of"), "component_id")
+    # Written, so that the join has an exchange on both sides and can split a large component.
+    ids = written(labelled.groupBy("label").agg(F.min("first").alias("component_id")), "components")
+    named = labelled.join(ids, "label").select(F.col("fp").alias("of"), "component_id", F.col("label").alias("group"))
     return (rows.join(named, F.col("fp") == F.col("of"))
-            .select("id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_key"))
+            .select("id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group", "text_key"))
 
 
 def first_of_group(docs, text="text", id="doc_id", **options):
@@ -192,7 +194,7 @@ def first_of_group(docs, text="text", id="doc_id", **options):
     rows that share the identifier only, the one with the smallest text hash stays.
     """
     found = near_duplicates(docs, text, id, **options)
-    keep = found.groupBy("component_id").agg(
+    keep = found.groupBy("group").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "text_key")).alias("k"))
     keep = keep.select(F.col("k.id").alias("__id"), F.col("k.text_key").alias("__key"))
     rows = docs.withColumn("__text_key", F.xxhash64(F.col(f"`{text}`")))
