@@ -29,6 +29,7 @@ ASIDE_WORDS = frozenset("ad ads advert advertisement adverts banner breadcrumb b
                         "widget".split())
 # What wraps a page by mistake or habit gives way to an article inside it.
 YIELDING = frozenset("form header nav".split())
+SOFT, FIRM = 1, 2
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
                     re.DOTALL)
@@ -47,8 +48,8 @@ class Page:
     def __init__(self, source):
         self.containers = [[-1, "", 0.0]]
         self.blocks = []
-        # Open elements: tag, container, whether left out.
-        self.open = [("", 0, False)]
+        # Open elements: tag, container, why left out (0: it is not).
+        self.open = [("", 0, 0)]
         self.words, self.linked, self.anchors = [], 0, 0
         self.read(source)
         self.end_block()
@@ -90,13 +91,15 @@ class Page:
         if tag in VOID or tag not in CONTAINERS and tag not in LEFT_OUT:
             return
         inside = any(t in ("article", "main") for t, _, _ in self.open)
-        if tag in ("article", "main"):
-            while self.open[-1][2] and self.open[-1][0] in YIELDING:
-                self.open.pop()
+        if tag in ("article", "main") and self.open[-1][2] == SOFT:
+            del self.open[[why for _, _, why in self.open].index(SOFT):]
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _LABEL.finditer(labels)} if labels else {}
         marks = {w for value in found.values() for w in re.split(r"[^a-z]+", value.lower())}
-        out = (self.open[-1][2] or tag in LEFT_OUT and not (tag == "header" and inside)
-               or tag not in ("html", "body", "main") and bool(marks & ASIDE_WORDS))
+        out = self.open[-1][2]
+        if tag in LEFT_OUT and not (tag == "header" and inside):
+            out = max(out, SOFT if tag in YIELDING else FIRM)
+        if tag not in ("html", "body", "main") and marks & ASIDE_WORDS:
+            out = FIRM
         parent = self.open[-1][1]
         if not out:
             first = _DIGITS.sub("#", (found.get("class", "").split() or [""])[0].lower())
