@@ -46,6 +46,13 @@ def test_upsert_records_for_a_compacted_topic(spark):
     assert got == [('{"id":"a"}', '{"id":"a","v":"x","n":1}'), ('{"id":"b"}', None)]
 
 
+def test_compacted_topic_gets_one_record_per_key(spark, folder):
+    df = frame(spark, [("a", "z", 1), ("a", "b", 2), ("b", "x", 1)]).repartition(3)
+    upsert.upsert_topic(df, None, ("id",), ("n",), kafka={"path": f"{folder}/topic"}, kafka_format="parquet")
+    assert rows(spark.read.parquet(f"{folder}/topic")) == [
+        ('{"id":"a"}', '{"id":"a","v":"b","n":2}'), ('{"id":"b"}', '{"id":"b","v":"x","n":1}')]
+
+
 def test_dimension_created_once_and_retry_counts_once(spark, folder):
     config = {"sink_table": "dim_t", "sink_columns": "id,a", "sink_pk": None, "sink_extend": "SALT"}
     shape = dimension.ensure_dimension_table(spark, folder, config)

@@ -12,6 +12,7 @@ from tideline.operators import dedup, flags
 from tideline.operators.bounce import bounces
 from tideline.operators.windows import window_sum_all, with_bounds, with_event_time
 from tideline.plans.left_join import left_join_batch
+from tideline.plans.traffic import visit_summary
 from tideline.sinks.upsert import read_upsert
 from tideline.streaming.run import run_with_restarts, start_query
 
@@ -119,14 +120,15 @@ def test_latest_row_is_held_then_emitted(streams, folder):
     feed = Feed(streams, folder, VERSIONS)
     once = {"once": True}
     last = lambda: dedup.latest_per_key_hold(feed.stream(), ("id",), ("n", "arrival"), hold_ms=1500)
-    feed.add([("a", 1, 0), ("a", 3, 0), ("a", 3, 1)])
+    feed.add([("a", 1, 0), ("a", 3, 0), ("a", 3, 1), ("d", 3, 0), ("d", None, 1)])
     feed.run(last(), once)
     feed.add([("a", 2, 9), ("b", 1, 0)])
     time.sleep(2)
     feed.run(last(), once)
     time.sleep(2)
     feed.add([("c", 1, 0)])
-    assert feed.run(last(), once) == [("a", 3, 1), ("b", 1, 0)]
+    # A null order value comes before any other.
+    assert feed.run(last(), once) == [("a", 3, 1), ("b", 1, 0), ("d", 3, 0)]
 
 
 def test_late_row_is_dropped_from_closed_window(streams, folder):
@@ -150,11 +152,34 @@ def test_event_time_from_text(streams, folder, column, schema, data):
     assert feed.run(with_bounds(summed, stamp=False)) == [("1970-01-01 00:00:00", "1970-01-01 00:00:10", 1)]
 
 
+def test_pages_ahead_of_visitors_and_bounces_close_no_window(streams, folder):
+    common = {"mid": "m", "uid": None, "vc": "v", "ch": "c", "ar": "1"}
+    schema = ("common struct<mid: string, uid: string, vc: string, ch: string, ar: string>, "
+              "page struct<page_id: string, last_page_id: string, during_time: bigint>, ts bigint")
+    feeds = [Feed(streams, f"{folder}/{name}", schema) for name in ("visitors", "jumps", "pages")]
+
+    def step(*times):
+        for feed, at in zip(feeds, times):
+            if at is not None:
+                feed.add([(common, ("home", None, 10), at)])
+        summary = visit_summary(*(feed.stream() for feed in feeds), stamp=False)
+        start_query(summary, f"{folder}/cp", fmt="parquet", path=f"{folder}/out", trigger=ONCE).awaitTermination()
+        rows = streams.read.schema(summary.schema).parquet(f"{folder}/out").where("stt = '1970-01-01 00:00:00'")
+        return [(r.uv_ct, r.uj_ct) for r in rows.collect()]
+
+    assert step(None, None, 0) == []
+    assert step(None, None, 25_000) == []
+    assert step(0, None, None) == []
+    assert step(None, 0, None) == []
+    assert step(60_000, 60_000, 60_000) == [(1, 1)]
+
+
 def test_left_join_with_either_side_first(streams, folder):
     """Sent 1-a, 1-b, 2-b, 2-a: each side may come first."""
-    feed = Feed(streams, folder, "id string, name string, side string")
-    for row in [("1", "a", "a"), ("1", "b", "b"), ("2", "bb", "b"), ("2", "aa", "a")]:
-        feed.add([row])
+    feed = Feed(streams, folder, "id string, name string, seq array<bigint>, side string")
+    for row in [("1", "a", [1], "a"), ("1", "b", [1], "b"), ("2", "bb", [1], "b"), ("2", "zz", [1], "a")]:
+        # A later change of the same key in the same batch; its text is the smaller one.
+        feed.add([row, ("2", "aa", [2], "a")] if row[1] == "zz" else [row])
         start_query(feed.stream(), f"{folder}/cp", each_batch=left_join_batch(folder),
                     trigger=ONCE).awaitTermination()
     joined = read_upsert(streams, f"{folder}/joined", ("id_a",))

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions.scalars import map_get
-from tideline.schemas import CHANGE_TYPES, PAYMENT_CDC, PAYMENT_SUCCESS
+from tideline.schemas import CHANGE_ORDER, CHANGE_TYPES, PAYMENT_CDC, PAYMENT_SUCCESS
+
+
+def change_seq():
+    """The order of a change as one comparable value."""
+    return F.array(*(F.col(c).cast("bigint") for c in CHANGE_ORDER))
 
 
 def filter_change_types(df, types=CHANGE_TYPES):
@@ -61,11 +67,18 @@ def route_by_config(changes, config):
 
 
 def dimension_changes(routed, order):
-    """``sink_table, pk, data, seq``: what the dimension log stores. Empty text is null."""
+    """``sink_table, pk, data, seq``: what the dimension log stores. Empty text is null.
+
+    The columns of ``order``, numbers or arrays of numbers, become one array.
+    """
+    def numbers(c):
+        is_array = isinstance(routed.schema[c].dataType, T.ArrayType)
+        return F.col(c) if is_array else F.array(F.col(c).cast("bigint"))
+
     blank_to_null = F.transform_values("data", lambda _, v: F.nullif(v, F.lit("")))
     pk = F.try_element_at("data", F.col("sink_pk"))
     return (routed.select("sink_table", pk.alias("pk"), blank_to_null.alias("data"),
-                          F.struct(*order).alias("seq"))
+                          F.concat(*map(numbers, order)).alias("seq"))
             .where(F.col("pk").isNotNull()))
 
 
@@ -73,24 +86,26 @@ def latest_dimension(changes, schema, base=None):
     """One row per key; for each column the last change that carried it wins.
 
     ``changes`` are the logged rows of one sink table, ``base`` an older result that any
-    change overrides. Runs as one aggregate with a partial step per task.
+    change overrides. Runs as one aggregate with a partial step per task. The value is no
+    part of the order, so a later change wins whatever its text, null included.
     """
-    def stamped(rank, seq, value):
-        return F.struct(F.lit(rank).alias("rank"), seq.alias("seq"), value.alias("value"))
-
-    parts = changes.select("pk", *(
-        F.when(F.map_contains_key("data", c), stamped(1, F.col("seq"), map_get("data", c))).alias(c)
-        for c in schema.names))
+    def parts_of(df, pk, value, rank, seq, present):
+        return df.select(pk.alias("pk"), *(
+            part for i, c in enumerate(schema.names) for part in (
+                value(c).alias(f"_v{i}"),
+                F.when(present(c), F.struct(F.lit(rank).alias("rank"), seq.alias("seq"))).alias(f"_o{i}"))))
+
+    parts = parts_of(changes, F.col("pk"), lambda c: map_get("data", c), 1, F.col("seq"),
+                     lambda c: F.map_contains_key("data", c))
     if base is not None:
         pk = next(f.name for f in schema.fields if f.metadata.get("primary_key"))
         no_seq = F.lit(None).cast(changes.schema["seq"].dataType)
-        parts = parts.unionByName(base.select(
-            F.col(pk).alias("pk"), *(stamped(0, no_seq, F.col(c)).alias(c) for c in schema.names)))
-    last = parts.groupBy("pk").agg(*(F.max(c).alias(c) for c in schema.names))
-    return last.select(*(F.col(f"{c}.value").alias(c) for c in schema.names))
+        parts = parts.unionByName(parts_of(base, F.col(pk), F.col, 0, no_seq, lambda c: F.lit(True)))
+    last = parts.groupBy("pk").agg(*(F.max_by(f"_v{i}", f"_o{i}").alias(c) for i, c in enumerate(schema.names)))
+    return last.select(*schema.names)
 
 
-def order_metric_rows(df, keys, amount="split_total_amount", keep=()):
-    """Order detail rows as keys, order id, amount as a number and creation time."""
-    return df.select(*keys, "order_id", F.col(amount).try_cast("double").alias("order_amount"),
+def order_metric_rows(df, keys, amount="split_total_amount", keep=(), kind="double"):
+    """Order detail rows as keys, order id, amount as a number of ``kind`` and creation time."""
+    return df.select(*keys, "order_id", F.col(amount).try_cast(kind).alias("order_amount"),
                      "create_time", *keep)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 
 from tideline import schemas
@@ -36,6 +37,17 @@ class Warehouse:
     fmt: str = "text"
     database: str | None = None
     options: dict = field(default_factory=dict)
+    # Upserts as compacted Kafka topics: writer options without the topic; else tables of files.
+    upsert_topics: dict | None = None
+    # JDBC reader options of the dictionary and writer options of the summaries; else files.
+    lookup_jdbc: dict | None = None
+    summary_jdbc: dict | None = None
+    # Idle days after which the state of a device or user is freed; None keeps it.
+    ttl_days: int | None = 1
+    # Micro-batches between two compactions of a table's change log.
+    compact_every: int = 500
+    # How often a failed query is started again.
+    restarts: int = 3
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 second"})
 
     @property
@@ -47,7 +59,7 @@ class Warehouse:
         if self.fmt != "kafka":
             empty = self.spark.createDataFrame([], "value string")
             for topic in (schemas.TOPIC_LOG, schemas.TOPIC_DB, schemas.TOPIC_PAGE_VIEW,
-                          schemas.TOPIC_UNIQUE_VISITOR, schemas.TOPIC_USER_JUMP, "table_process"):
+                          schemas.TOPIC_UNIQUE_VISITOR, schemas.TOPIC_USER_JUMP, schemas.TABLE_PROCESS_TOPIC):
                 if not path_exists(self.spark, f"{self.topics}/{topic}"):
                     empty.write.format(self.fmt).save(f"{self.topics}/{topic}")
         for topic, columns in ((schemas.TOPIC_ORDER_DETAIL, schemas.ORDER_DETAIL_COLUMNS),
@@ -59,7 +71,8 @@ class Warehouse:
 
     @staticmethod
     def shape(columns):
-        return schemas.text_struct(*columns).add(schemas.ROW_TIME, "timestamp")
+        return (schemas.text_struct(*columns).add(schemas.ROW_TIME, "timestamp")
+                .add(schemas.VERSION, schemas.VERSION_TYPE))
 
     def text(self, topic):
         return read_text_stream(self.spark, topic, fmt=self.fmt, root=self.topics, options=self.options)
@@ -76,17 +89,22 @@ class Warehouse:
                                 checkpoint=f"{self.checkpoints}/{topic}", trigger=self.trigger)
 
     def upsert(self, df, topic, key, enrich):
-        return upsert_topic(df, f"{self.root}/tables/{topic}", (key,), (schemas.ROW_TIME,),
-                            checkpoint=f"{self.checkpoints}/{topic}", trigger=self.trigger, enrich=enrich)
+        kafka = None if self.upsert_topics is None else {**self.upsert_topics, "topic": topic}
+        return upsert_topic(df, f"{self.root}/tables/{topic}", (key,), (schemas.VERSION,),
+                            checkpoint=f"{self.checkpoints}/{topic}", trigger=self.trigger, enrich=enrich,
+                            kafka=kafka, compact_every=self.compact_every)
 
     def summarise(self, df, schema, name, enrich=None):
-        return write_summary(df, schema, f"{self.root}/summaries/{name}",
+        jdbc = None if self.summary_jdbc is None else {**self.summary_jdbc, "dbtable": name}
+        return write_summary(df, schema, f"{self.root}/summaries/{name}", jdbc,
                              checkpoint=f"{self.checkpoints}/{name}", trigger=self.trigger, enrich=enrich)
 
     def upserts(self, topic, columns):
         return stream_upserts(self.spark, f"{self.root}/tables/{topic}", self.shape(columns))
 
     def dictionary(self):
+        if self.lookup_jdbc is not None:
+            return read_lookup_table(self.spark, "base_dic", "jdbc", options=self.lookup_jdbc)
         return read_lookup_table(self.spark, "base_dic", root=f"{self.root}/lookup")
 
     def dimension(self, name, columns):
@@ -94,10 +112,29 @@ class Warehouse:
         return read_dimension(self.spark, f"{self.root}/dims", f"dim_{name}", schemas.dimension_schema(columns))
 
 
+def run_job(job, w, **options):
+    """Run a job to the end of its queries; after a failure stop them and start it again.
+
+    Each query resumes from its checkpoint. After ``w.restarts`` failures the error is raised.
+    """
+    for attempt in range(w.restarts + 1):
+        started = job(w, **options)
+        queries = started if isinstance(started, tuple) else (started,)
+        try:
+            for query in queries:
+                query.awaitTermination()
+            return
+        except StreamingQueryException:
+            for query in queries:
+                query.stop()
+            if attempt == w.restarts:
+                raise
+
+
 def dim_job(w):
     def each_batch(batch, batch_id):
-        config = read_config_stream(batch.sparkSession, fmt=w.fmt, root=w.topics)
-        route_batch(batch.sparkSession, batch, config, f"{w.root}/dims", batch_id, ("pt", "table"))
+        config = read_config_stream(batch.sparkSession, fmt=w.fmt, root=w.topics, options=w.options)
+        route_batch(batch.sparkSession, batch, config, f"{w.root}/dims", batch_id, (schemas.SEQ,), w.compact_every)
 
     return start_query(w.changes(), f"{w.checkpoints}/dim", each_batch=each_batch, trigger=w.trigger)
 
@@ -108,7 +145,7 @@ def page_view_job(w):
 
 
 def unique_visitor_job(w):
-    return w.publish(traffic.unique_visitor_detail(w.text(schemas.TOPIC_PAGE_VIEW)),
+    return w.publish(traffic.unique_visitor_detail(w.text(schemas.TOPIC_PAGE_VIEW), w.ttl_days),
                      schemas.TOPIC_UNIQUE_VISITOR)
 
 
@@ -124,7 +161,7 @@ def visit_summary_job(w):
 
 
 def home_detail_job(w):
-    return w.summarise(traffic.home_detail_summary(w.pages()), schemas.HOME_DETAIL_SUMMARY,
+    return w.summarise(traffic.home_detail_summary(w.pages(), ttl_days=w.ttl_days), schemas.HOME_DETAIL_SUMMARY,
                        "traffic_page_view_window")
 
 
@@ -134,21 +171,23 @@ def login_job(w):
 
 def order_detail_job(w, seconds=5):
     def enrich(batch):
-        return (trade.name_source_type(batch, w.dictionary())
-                .withColumn(schemas.ROW_TIME, processing_time()))
+        named = trade.name_source_type(batch, w.dictionary(), (schemas.VERSION,))
+        return named.withColumn(schemas.ROW_TIME, processing_time())
 
-    return w.upsert(trade.joined_changes(w.changes(), seconds, database=w.database), schemas.TOPIC_ORDER_DETAIL, "id", enrich)
+    joined = trade.joined_changes(w.changes(), seconds, database=w.database, keep=(schemas.SEQ,))
+    return w.upsert(joined, schemas.TOPIC_ORDER_DETAIL, "id", enrich)
 
 
 def pay_detail_job(w, seconds=905):
     details = w.upserts(schemas.TOPIC_ORDER_DETAIL, schemas.ORDER_DETAIL_COLUMNS)
-    return w.upsert(trade.joined_payments(w.changes(), details, seconds), schemas.TOPIC_PAY_DETAIL,
-                    "order_detail_id", lambda batch: trade.name_payment_type(batch, w.dictionary()))
+    joined = trade.joined_payments(w.changes(), details, seconds, database=w.database, keep=(schemas.SEQ,))
+    return w.upsert(joined, schemas.TOPIC_PAY_DETAIL, "order_detail_id",
+                    lambda batch: trade.name_payment_type(batch, w.dictionary()))
 
 
 def payer_job(w):
     payments = w.upserts(schemas.TOPIC_PAY_DETAIL, schemas.PAY_DETAIL_COLUMNS)
-    return w.summarise(trade.payer_summary(payments), schemas.PAYER_SUMMARY, "trade_payment_suc_window")
+    return w.summarise(trade.payer_summary(payments, (schemas.VERSION,)), schemas.PAYER_SUMMARY, "trade_payment_suc_window")
 
 
 def province_job(w):
@@ -157,7 +196,7 @@ def province_job(w):
     def enrich(batch):
         return trade.name_provinces(batch, w.dimension("base_province", "id,name"))
 
-    return w.summarise(with_bounds(trade.province_totals(details)), schemas.PROVINCE_SUMMARY,
+    return w.summarise(with_bounds(trade.province_totals(details, (schemas.VERSION,))), schemas.PROVINCE_SUMMARY,
                        "trade_province_order_window", enrich)
 
 
@@ -191,7 +230,7 @@ def user_spu_job(w):
     logged = start_query(details, f"{w.checkpoints}/order_detail_sku", each_batch=log_sku, trigger=w.trigger)
     if "availableNow" in w.trigger:
         logged.awaitTermination()
-    rows = trade.user_spu_first(w.spark.readStream.schema(shape).parquet(path))
+    rows = trade.user_spu_first(w.spark.readStream.schema(shape).parquet(path), (schemas.ROW_TIME, schemas.VERSION))
     summary = w.summarise(with_bounds(trade.user_spu_totals(rows)), schemas.USER_SPU_SUMMARY,
                           "trade_user_spu_order_window", enrich)
     return logged, summary

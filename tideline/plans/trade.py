@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tideline.functions.scalars import MONEY
 from tideline.functions.time import date_part_of, processing_time, row_time
 from tideline.operators.cdc import cdc_view, order_metric_rows, payment_success_view
 from tideline.operators.dedup import first_per_key_windowed, latest_per_key_windowed
@@ -17,27 +18,38 @@ from tideline.operators.windows import (
     WINDOW, window_distinct_sum, window_sum_all, with_bounds, with_event_time)
 from tideline.schemas import (
     ORDER_ACTIVITY_CDC, ORDER_COUPON_CDC, ORDER_DETAIL_CDC, ORDER_DETAIL_COLUMNS, ORDER_INFO_CDC,
-    PAY_DETAIL_COLUMNS, ROW_TIME)
+    PAY_DETAIL_COLUMNS, ROW_TIME, SEQ, VERSION)
 
 
 def join_order_detail(details, orders, activities, coupons, seconds=5):
     """Order details with their order, activity and coupon.
 
-    Each input has its event time in ``event_time``; other detail columns are carried.
+    Each input has its event time in ``event_time``; other detail columns are carried. Where
+    the inputs have their change order ``seq``, the result has a ``version``: the newest
+    change among the four, then each of them.
     """
+    ordered = SEQ in details.columns
+
+    def seq_of(side):
+        return [F.col(f"{side}_{SEQ}")] if ordered else []
+
     joined = join_within(details, orders, [("order_id", "id")], "event_time", "event_time",
                          seconds, "inner", "oi_")
     joined = joined.select(*details.columns, F.col("oi_user_id").alias("user_id"),
-                           F.col("oi_province_id").alias("province_id"))
+                           F.col("oi_province_id").alias("province_id"), *seq_of("oi"))
     carried = joined.columns
     joined = join_within(joined, activities, [("id", "order_detail_id")], "event_time", "event_time",
                          seconds, "left", "oa_")
     joined = joined.select(*carried, F.col("oa_activity_id").alias("activity_id"),
-                           F.col("oa_activity_rule_id").alias("activity_rule_id"))
+                           F.col("oa_activity_rule_id").alias("activity_rule_id"), *seq_of("oa"))
     carried = joined.columns
     joined = join_within(joined, coupons, [("id", "order_detail_id")], "event_time", "event_time",
                          seconds, "left", "oc_")
-    return joined.select(*carried, F.col("oc_coupon_id").alias("coupon_id"))
+    joined = joined.select(*carried, F.col("oc_coupon_id").alias("coupon_id"), *seq_of("oc"))
+    if not ordered:
+        return joined
+    inputs = (SEQ, *(f"{side}_{SEQ}" for side in ("oi", "oa", "oc")))
+    return joined.withColumn(VERSION, F.array(F.greatest(*inputs), *inputs)).drop(*inputs)
 
 
 def name_source_type(joined, dictionary, keep=()):
@@ -78,12 +90,16 @@ def name_payment_type(joined, dictionary):
     names = {"order_detail_id": "od_id", "payment_type_code": "payment_type",
              "payment_type_name": "payment_type_name", "callback_time": "callback_time",
              "split_payment_amount": "od_split_total_amount"}
+    version = []
+    if SEQ in joined.columns:
+        # The payment's own change, then what the order detail was made of.
+        version = [F.concat(F.array(SEQ), f"od_{VERSION}").alias(VERSION)]
     return named.select(*(F.col(names.get(c, f"od_{c}")).alias(c) for c in PAY_DETAIL_COLUMNS),
-                        F.col(f"od_{ROW_TIME}").alias(ROW_TIME))
+                        F.col(f"od_{ROW_TIME}").alias(ROW_TIME), *version)
 
 
-def joined_payments(changes, details, seconds=905, delay="905 seconds", database=None):
-    payments = with_event_time(payment_success_view(changes, database), "callback_time", delay)
+def joined_payments(changes, details, seconds=905, delay="905 seconds", database=None, keep=()):
+    payments = with_event_time(payment_success_view(changes, database, keep), "callback_time", delay)
     return join_payments(payments, with_event_time(details, "create_time", delay), seconds)
 
 
@@ -98,7 +114,8 @@ def payer_flags(payments, tie=(), ttl_days=None):
     The latest version of each detail counts; the day is the text of the callback time.
     """
     timed = with_event_time(payments.withColumn("_version", row_time(ROW_TIME)), "callback_time", "2 seconds")
-    last = latest_per_key_windowed(timed, ("order_detail_id",), ("_version", *tie))
+    needed = timed.select("order_detail_id", "user_id", "callback_time", "event_time", "_version", *tie)
+    last = latest_per_key_windowed(needed, ("order_detail_id",), ("_version", *tie))
     rows = last.select("user_id", "callback_time", "event_time", "order_detail_id",
                        date_part_of("callback_time").alias("day"))
     return unique_and_new(rows, ("user_id",), "day", ("callback_time", "order_detail_id"),
@@ -114,8 +131,10 @@ def payer_summary(payments, tie=(), size=WINDOW, stamp=True, ttl_days=None):
 def province_totals(details, tie=(), size=WINDOW):
     """Orders and amount per province, over the latest version of each detail."""
     timed = with_event_time(details.withColumn("_version", row_time(ROW_TIME)), "create_time", "2 seconds")
-    last = latest_per_key_windowed(timed, ("id",), ("_version", *tie))
-    rows = order_metric_rows(last, ("province_id",), keep=("event_time",))
+    needed = timed.select("id", "order_id", "province_id", "split_total_amount", "create_time", "event_time",
+                          "_version", *tie)
+    last = latest_per_key_windowed(needed, ("id",), ("_version", *tie))
+    rows = order_metric_rows(last, ("province_id",), keep=("event_time",), kind=MONEY)
     return window_distinct_sum(rows, ("province_id",), size=size)
 
 
@@ -137,8 +156,10 @@ def user_spu_rows(details, sku_info, tie=(), on_missing="keep"):
 def user_spu_first(details, tie=(), keys=("user_id", "spu_id", "trademark_id", "category3_id")):
     """Metric row of the first version of each detail."""
     timed = with_event_time(details, "create_time", "2 seconds")
-    first = first_per_key_windowed(timed, ("id",), tie or (ROW_TIME,))
-    return order_metric_rows(first, keys, keep=("event_time",))
+    order = tuple(tie) or (ROW_TIME,)
+    needed = timed.select("id", "order_id", *keys, "split_total_amount", "create_time", "event_time", *order)
+    first = first_per_key_windowed(needed, ("id",), order)
+    return order_metric_rows(first, keys, keep=("event_time",), kind=MONEY)
 
 
 def attach_sku(rows, sku_info, on_missing="keep"):

@@ -41,9 +41,9 @@ def unique_visitors(pages, tie=(), ttl_days=None):
     return first.drop("mid", "day", "event_time")
 
 
-def unique_visitor_detail(page_text):
+def unique_visitor_detail(page_text, ttl_days=None):
     """Unique visitors as topic text, fields nobody declared included."""
-    return unique_visitors(parse_page_log(page_text, keep=("value",)), ("value",), 1).select("value")
+    return unique_visitors(parse_page_log(page_text, keep=("value",)), ("value",), ttl_days).select("value")
 
 
 def bounce_detail(page_text, within_ms=10_000):
@@ -51,16 +51,20 @@ def bounce_detail(page_text, within_ms=10_000):
     return bounces(parse_page_log(page_text, keep=("value",)), within_ms=within_ms).select("value")
 
 
-def visit_summary(visitors, jumps, pages, size=WINDOW, stamp=True):
-    """Visitors, sessions, page views, duration and bounces per version, channel and area."""
-    rows = union_metrics(visit_metrics(visitors, "visitor"), visit_metrics(jumps, "bounce"),
-                         visit_metrics(pages, "page"))
-    timed = with_event_time(rows, "ts", "14 seconds")
+def visit_summary(visitors, jumps, pages, size=WINDOW, stamp=True, delay="14 seconds"):
+    """Visitors, sessions, page views, duration and bounces per version, channel and area.
+
+    Each input has a watermark of its own, ``delay`` behind its latest row. The slowest one
+    governs, so pages that run ahead close no window on visitors or bounces still to come.
+    """
+    timed = union_metrics(*(
+        with_event_time(visit_metrics(rows, kind), "ts", delay)
+        for rows, kind in ((visitors, "visitor"), (jumps, "bounce"), (pages, "page"))))
     summed = window_sum_by(timed, ("ar", "ch", "vc"), VISIT_METRICS, size=size)
     return with_bounds(summed, stamp)
 
 
-def home_detail_summary(pages, tie=(), size=WINDOW, stamp=True, ttl_days=1):
+def home_detail_summary(pages, tie=(), size=WINDOW, stamp=True, ttl_days=None):
     """Unique visitors of the home and detail pages."""
     rows = filter_pages(pages).select(
         F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),

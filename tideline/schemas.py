@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 # --- fixed values: topic names, one spelling for writer and reader ------------------
 TOPIC_LOG = "topic_log"
 TOPIC_DB = "topic_db"
+TABLE_PROCESS_TOPIC = "table_process"
 TOPIC_PAGE_VIEW = "dwd_traffic_page_view"
 TOPIC_UNIQUE_VISITOR = "dwd_traffic_unique_visitor_detail"
 TOPIC_USER_JUMP = "dwd_traffic_user_jump"
@@ -77,8 +78,20 @@ CHANGELOG = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("data", T.MapType(T.StringType(), T.StringType())),
     T.StructField("old", T.MapType(T.StringType(), T.StringType())),
+    # When and in which transaction the change was made, and its place there.
+    T.StructField("ts", T.LongType()),
+    T.StructField("xid", T.LongType()),
+    T.StructField("xoffset", T.LongType()),
 ])
 
+# What orders changes: the record's own fields, then its place in the topic, where known.
+CHANGE_ORDER = ("ts", "xid", "xoffset", "partition", "offset")
+SEQ = "seq"
+SEQ_TYPE = T.ArrayType(T.LongType())
+# The order of a joined row: the newest change among its inputs, then each of them.
+VERSION = "version"
+VERSION_TYPE = T.ArrayType(SEQ_TYPE)
+
 ORDER_DETAIL = text_struct(*ORDER_DETAIL_COLUMNS, ROW_TIME)
 PAY_DETAIL = text_struct(*PAY_DETAIL_COLUMNS, ROW_TIME)
 
@@ -126,7 +139,7 @@ def dimension_schema(sink_columns, sink_pk=None, sink_extend=None):
     are kept as field metadata of the key column.
     """
     pk = sink_pk or "id"
-    names = sink_columns.split(",")
+    names = (sink_columns or "").split(",")
     if pk not in names:
         raise ValueError(f"key column {pk!r} is not in the column list {sink_columns!r}")
     return T.StructType([

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators.cdc import dimension_changes, latest_dimension
-from tideline.schemas import dimension_schema
-from tideline.sinks.files import path_exists
+from tideline.schemas import SEQ_TYPE, dimension_schema
+from tideline.sinks.files import numbered
 
 _NONE_YET = -1
 
@@ -15,8 +16,8 @@ def ensure_dimension_table(spark, root, config_row):
     """Create the sink table of a configuration row, empty, when it is not there."""
     schema = dimension_schema(config_row["sink_columns"], config_row["sink_pk"], config_row["sink_extend"])
     path = f"{root}/base/{config_row['sink_table']}"
-    if not path_exists(spark, path):
-        spark.createDataFrame([], schema).write.parquet(f"{path}/upto={_NONE_YET}")
+    if not numbered(spark, path, "upto"):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/upto={_NONE_YET}")
     return schema
 
 
@@ -29,32 +30,40 @@ def upsert_dimension(routed, root, batch_id, order):
      .parquet(f"{root}/log/batch_id={batch_id}"))
 
 
-def _changes(spark, root, sink_table, after):
-    if not path_exists(spark, f"{root}/log"):
+LOG = (T.StructType().add("sink_table", "string").add("pk", "string")
+       .add("data", T.MapType(T.StringType(), T.StringType())).add("seq", SEQ_TYPE).add("batch_id", "long"))
+
+
+def _changes(spark, root, sink_table, after, upto=None):
+    """Logged rows of batches after ``after``: only their folders are listed and read."""
+    batches = [n for n in numbered(spark, f"{root}/log", "batch_id") if n > after and (upto is None or n <= upto)]
+    if not batches:
         return None
-    log = spark.read.parquet(f"{root}/log")
-    mine = log.where((F.col("sink_table") == sink_table) & (F.col("batch_id") > after))
-    return mine.withColumn("seq", F.struct(F.col("batch_id").alias("batch_id"), "seq"))
+    log = (spark.read.schema(LOG).option("basePath", f"{root}/log")
+           .parquet(*(f"{root}/log/batch_id={n}" for n in batches)))
+    mine = log.where(F.col("sink_table") == sink_table)
+    return mine.withColumn("seq", F.concat(F.array("batch_id"), "seq"))
 
 
-def _newest_base(spark, root, sink_table):
-    base = spark.read.parquet(f"{root}/base/{sink_table}")
-    # An empty base shows no number; reading then starts from the log's beginning.
-    upto = base.agg(F.coalesce(F.max("upto"), F.lit(_NONE_YET))).first()[0]
-    return base.where(F.col("upto") == upto).drop("upto"), upto
+def _newest_base(spark, root, sink_table, schema):
+    path = f"{root}/base/{sink_table}"
+    upto = numbered(spark, path, "upto")[-1]
+    return spark.read.schema(schema).parquet(f"{path}/upto={upto}"), upto
 
 
 def read_dimension(spark, root, sink_table, schema):
     """The current rows of a sink table, one per key."""
-    base, upto = _newest_base(spark, root, sink_table)
+    base, upto = _newest_base(spark, root, sink_table, schema)
     changes = _changes(spark, root, sink_table, upto)
     return base if changes is None else latest_dimension(changes, schema, base)
 
 
 def compact_dimension(spark, root, sink_table, schema):
     """Write the current rows as a new base covering every batch logged so far."""
-    upto = spark.read.parquet(f"{root}/log").agg(F.max("batch_id")).first()[0]
-    base, before = _newest_base(spark, root, sink_table)
-    changes = _changes(spark, root, sink_table, before).where(F.col("batch_id") <= upto)
+    batches = numbered(spark, f"{root}/log", "batch_id")
+    base, before = _newest_base(spark, root, sink_table, schema)
+    if not batches or batches[-1] <= before:
+        return
+    changes = _changes(spark, root, sink_table, before, batches[-1])
     latest_dimension(changes, schema, base).write.mode("overwrite").parquet(
-        f"{root}/base/{sink_table}/upto={upto}")
+        f"{root}/base/{sink_table}/upto={batches[-1]}")

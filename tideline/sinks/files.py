@@ -3,8 +3,21 @@
 from __future__ import annotations
 
 
+def _located(spark, path):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark, path):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _located(spark, path)
     return fs.exists(hadoop_path)
+
+
+def numbered(spark, path, key):
+    """The numbers of the finished folders ``key=N`` in ``path``, sorted; lists one level only."""
+    if not path_exists(spark, path):
+        return []
+    fs, hadoop_path = _located(spark, path)
+    names = [entry.getPath().getName() for entry in fs.listStatus(hadoop_path)]
+    found = (int(name[len(key) + 1:]) for name in names if name.startswith(f"{key}="))
+    return sorted(n for n in found if path_exists(spark, f"{path}/{key}={n}/_SUCCESS"))

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.operators.cdc import latest_config
+from tideline.operators.cdc import change_seq, latest_config
 from tideline.operators.parse import parse_json
-from tideline.schemas import CHANGELOG, TABLE_PROCESS
+from tideline.schemas import CHANGE_ORDER, CHANGELOG, SEQ, TABLE_PROCESS
 
 
-def read_text_stream(spark, topic, fmt="kafka", root=None, streaming=True, options=None):
+def read_text_stream(spark, topic, fmt="kafka", root=None, streaming=True, options=None, position=False):
     """One ``value`` text column; a null record reads as the empty text.
 
+    With ``position`` also ``partition`` and ``offset``, null where the topic has none.
+
     ``options`` go to the reader, e.g. ``kafka.bootstrap.servers``, ``startingOffsets``
     or ``maxFilesPerTrigger``. Offsets live in the query's checkpoint.
     """
@@ -21,17 +23,23 @@ def read_text_stream(spark, topic, fmt="kafka", root=None, streaming=True, optio
         rows = reader.option("subscribe", topic).load()
     else:
         rows = reader.load(f"{root}/{topic}")
-    return rows.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))
+    value = F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value")
+    if not position:
+        return rows.select(value)
+    return rows.select(value, *((F.col(c) if fmt == "kafka" else F.lit(None)).cast("bigint").alias(c)
+                                for c in ("partition", "offset")))
 
 
-def read_json_stream(spark, topic, schema, **kwargs):
+def read_json_stream(spark, topic, schema, position=False, **kwargs):
     """Records as the columns of ``schema``; tombstones and bad text are left out."""
-    return parse_json(read_text_stream(spark, topic, **kwargs), schema)
+    rows = read_text_stream(spark, topic, position=position, **kwargs)
+    return parse_json(rows, schema, keep=("partition", "offset") if position else ())
 
 
 def read_changelog(spark, topic="topic_db", **kwargs):
-    """Change-log rows with the processing time ``pt``."""
-    return read_json_stream(spark, topic, CHANGELOG, **kwargs).withColumn("pt", F.current_timestamp())
+    """Change-log rows with their order ``seq`` and the processing time ``pt``."""
+    rows = read_json_stream(spark, topic, CHANGELOG, position=True, **kwargs)
+    return rows.withColumn(SEQ, change_seq()).drop(*CHANGE_ORDER).withColumn("pt", F.current_timestamp())
 
 
 CONFIG_ENVELOPE = T.StructType([

@@ -14,12 +14,15 @@ def one_per_key(df, keys, order, latest=False):
 
     def thin(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             table = pa.Table.from_batches([batch])
-            table = table.sort_by([(c, "ascending") for c in order])
+            # Nulls come first, as in Spark's own order.
+            by = [(c, "ascending") for c in order]
+            table = table.take(pc.sort_indices(table, sort_keys=by, null_placement="at_start"))
             position = pa.array(range(table.num_rows), pa.int64())
             groups = table.select(keys).append_column("_position", position)
             chosen = groups.group_by(keys).aggregate([("_position", "max" if latest else "min")])

@@ -13,6 +13,7 @@ from tideline.operators.windows import (
     window_distinct_sum, window_sum_by, with_bounds, with_event_time)
 from tideline.plans import traffic, trade
 from tideline.plans.dimensions import route_batch, routed_changes
+from tideline.plans.left_join import left_join_batch, tagged_sides
 from tideline.schemas import (
     ORDER_ACTIVITY_CDC, ORDER_COUPON_CDC, ORDER_DETAIL_CDC, ORDER_DETAIL_COLUMNS, ORDER_INFO_CDC,
     PAGE_LOG_TEXT, PAY_DETAIL_COLUMNS, USER_SPU_SUMMARY, dimension_schema, text_struct)
@@ -138,9 +139,8 @@ def wide_details(spark, sf):
 def order_detail_upsert(spark, sf):
     """The joined details logged as an upsert table and read back: one row per id."""
     path = work_dir(spark, "order-detail")
-    order = [F.coalesce(c, F.lit("")) for c in (
-        "sku_id", "activity_id", "coupon_id", "source_id", "order_price", "sku_num")]
-    rows = wide_details(spark, sf).withColumn("version", F.concat_ws("|", *order))
+    joined = trade.joined_changes(inputs.trade_changelog(spark, sf), database="shop", keep=("seq",))
+    rows = trade.name_source_type(joined, inputs.base_dic(spark, sf), ("version",))
     upsert_topic(rows, path, ("id",), ("version",))
     return read_upsert(spark, path, ("id",)).select(*ORDER_DETAIL_COLUMNS)
 
@@ -163,19 +163,24 @@ def first_per_detail(spark, sf):
 
 def left_join_upsert(spark, sf):
     """Orders left-joined with the part of the customers that has a positive balance, upserted."""
-    a, b = join_sides(spark, sf)
-    path = work_dir(spark, "left-join")
-    upsert_topic(joins.left_join(a, b), path, ("id_a",), ("name_a",))
-    return read_upsert(spark, path, ("id_a",))
+    root = work_dir(spark, "left-join")
+    left_join_batch(root)(tagged_sides(*join_sides(spark, sf)), 0)
+    return read_upsert(spark, f"{root}/joined", ("id_a",))
 
 
 def join_sides(spark, sf):
-    """``a``: last order per customer; ``b``: customers with a positive balance."""
-    orders = inputs.table(spark, sf, "orders").select(
-        inputs.text("o_custkey").alias("id"), F.format_string("%012d", "o_orderkey").alias("name_a"))
-    a = dedup.latest_per_key(orders, ("id",), ("name_a",))
-    b = inputs.table(spark, sf, "customer").where(F.col("c_acctbal") > 0).select(
-        inputs.text("c_custkey").alias("id"), F.col("c_name").alias("name_b"))
+    """Changes of both sides, several a key: ``a``: orders, whose texts fall as they go on.
+
+    ``b``: customers with a positive balance, some with a later change to empty text.
+    """
+    a = inputs.table(spark, sf, "orders").select(
+        inputs.text("o_custkey").alias("id"),
+        F.format_string("%012d", F.lit(999_999_999_999) - F.col("o_orderkey")).alias("name_a"),
+        inputs.sequence(F.col("o_orderkey")).alias("seq"))
+    customers = inputs.table(spark, sf, "customer").where(F.col("c_acctbal") > 0)
+    key, first, second = inputs.text("c_custkey").alias("id"), inputs.sequence(F.lit(0)), inputs.sequence(F.lit(1))
+    b = customers.select(key, F.col("c_name").alias("name_b"), first.alias("seq")).unionByName(
+        customers.where(F.col("c_custkey") % 5 == 0).select(key, F.lit("").alias("name_b"), second.alias("seq")))
     return a, b
 
 
@@ -230,7 +235,7 @@ def _snapshot(spark, sf, compact):
     root = work_dir(spark, "dims")
     shapes = {sink: dimension_schema(columns, pk, extend) for _, sink, columns, pk, extend in inputs.ROUTES}
     for step in range(3):
-        route_batch(spark, changes.where(F.col("seq") == step), config, root, step, ("seq",))
+        route_batch(spark, changes.where(F.col("xid") == step), config, root, step, ("seq",))
         if compact and step == 1:
             for sink, shape in shapes.items():
                 compact_dimension(spark, root, sink, shape)

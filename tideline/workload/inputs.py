@@ -9,23 +9,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.functions.time import DATE_TIME
-from tideline.schemas import ORDER_DETAIL_COLUMNS, text_struct
+from tideline.schemas import ORDER_DETAIL_COLUMNS, PAYMENT_SUCCESS, text_struct
 
 
-FACTS = ("events", "lineitem", "orders")
-
 
 def table(spark, sf_dir, name):
-    """A driver table. A fact table in fewer splits than cores is spread over the cores.
-
-    That only happens to small files of one row group; a large table has many more
-    splits than cores and is read as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in FACTS and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text(c):
@@ -125,23 +114,27 @@ def order_detail(spark, sf_dir):
 TIE = ("part", "supp")
 
 
-def _change(rows, name, kind, data, seq):
+def sequence(ts, xid=None, xoffset=None):
+    """The order of a change, as the reader of the change log makes it."""
+    given = (F.lit(None) if c is None else c for c in (ts, xid, xoffset))
+    return F.array(*(c.cast("bigint") for c in given), *[F.lit(None).cast("bigint")] * 2)
+
+
+def _change(rows, name, kind, data, order):
     pairs = [part for key, value in data.items() for part in (F.lit(key), value)]
     return rows.select(
         F.lit("shop").alias("database"), F.lit(name).alias("table"), kind.alias("type"),
         F.create_map(*pairs).alias("data"),
         F.create_map(F.lit("id"), list(data.values())[0]).alias("old"),
-        seq.alias("seq"))
+        sequence(*order).alias("seq"))
 
 
 def trade_changelog(spark, sf_dir):
     """Change-log rows of orders, details, activities, coupons and payments."""
     orders, lines = order_times(spark, sf_dir), order_lines(spark, sf_dir)
     insert, update = F.lit("insert"), F.lit("update")
-    version = F.struct(F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("a"),
-                       F.col("l_partkey").alias("b"), F.col("l_suppkey").alias("c"))
-    order_version = F.struct(F.lit(0).cast("bigint").alias("a"), F.col("o_orderkey").alias("b"),
-                             F.lit(0).cast("bigint").alias("c"))
+    version = F.unix_millis(F.col("l_shipdate").cast("timestamp")), F.col("l_partkey"), F.col("l_suppkey")
+    order_version = F.lit(0), F.col("o_orderkey"), F.lit(0)
     created = _when(_seconds_after(F.col("created"), F.col("l_linenumber")))
     extra = _when(_seconds_after(F.col("created"), F.col("l_linenumber") + F.col("l_suppkey") % 8))
     detail = _change(lines, "order_detail", insert, {
@@ -170,7 +163,7 @@ def trade_changelog(spark, sf_dir):
         "id": text("o_orderkey"), "user_id": text("o_custkey"), "order_id": text("o_orderkey"),
         "payment_type": text(F.col("o_orderkey") % 7),
         "callback_time": _when(_seconds_after(F.col("created"), F.col("o_orderkey") % 1800)),
-        "payment_status": F.when(F.col("o_orderstatus") == "F", "1602").otherwise("1601"),
+        "payment_status": F.when(F.col("o_orderstatus") == "F", PAYMENT_SUCCESS).otherwise("1601"),
     }, order_version)
     rows = detail
     for other in (info, activity, coupon, payment):
@@ -227,8 +220,9 @@ def spu_dims(spark, sf_dir):
 def dimension_changelog(spark, sf_dir):
     """Change-log rows of parts, suppliers and nations: inserts, updates and deletes.
 
-    ``seq`` orders them. Updates of parts carry only some columns, so rows are merged
-    column by column.
+    All are of one second; the transaction orders them. Updates of parts carry only some
+    columns, so rows are merged column by column; the last text is not the largest, and
+    may be empty.
     """
     part = table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier")
@@ -238,7 +232,8 @@ def dimension_changelog(spark, sf_dir):
         pairs = [p for k, v in data.items() for p in (F.lit(k), v)]
         return df.select(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                          F.lit(kind).alias("type"), F.create_map(*pairs).alias("data"),
-                         F.lit(step).cast("bigint").alias("seq"))
+                         F.lit(1).cast("bigint").alias("ts"), F.lit(step).cast("bigint").alias("xid"),
+                         sequence(F.lit(1), F.lit(step)).alias("seq"))
 
     sku = {"id": text("p_partkey"), "sku_name": F.col("p_name"), "tm_id": F.col("p_brand"),
            "spu_id": text("p_size"), "price": money("p_retailprice")}

@@ -60,26 +60,27 @@ od AS (
     strftime(created + to_seconds(l_linenumber), {T}) AS create_time,
     CAST(l_orderkey % 6 AS VARCHAR) AS source_type, CAST(l_suppkey AS VARCHAR) AS source_id,
     CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) AS split_total_amount,
-    created + to_seconds(l_linenumber) AS t
+    created + to_seconds(l_linenumber) AS t, [epoch_ms(l_shipdate), l_partkey, l_suppkey] AS seq
   FROM order_lines),
 oi AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
     CAST(c_nationkey AS VARCHAR) AS province_id, o_orderstatus AS order_status,
     CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS total_amount,
-    strftime(created, {T}) AS create_time, created AS t
+    strftime(created, {T}) AS create_time, created AS t, [0, o_orderkey, 0] AS seq
   FROM order_times),
 extra AS (
   SELECT detail_id || '-' || l_partkey || '-' || l_suppkey AS id, CAST(l_orderkey AS VARCHAR) AS order_id,
     detail_id AS order_detail_id, l_partkey, l_suppkey, l_linenumber, l_returnflag,
-    CAST(l_partkey AS VARCHAR) AS sku_id, created + to_seconds(l_linenumber + l_suppkey % 8) AS t
+    CAST(l_partkey AS VARCHAR) AS sku_id, created + to_seconds(l_linenumber + l_suppkey % 8) AS t,
+    [epoch_ms(l_shipdate), l_partkey, l_suppkey] AS seq
   FROM order_lines),
 oa AS (
   SELECT id, order_id, order_detail_id, CAST(l_suppkey AS VARCHAR) AS activity_id,
-    CAST(l_suppkey % 10 AS VARCHAR) AS activity_rule_id, sku_id, strftime(t, {T}) AS create_time, t
+    CAST(l_suppkey % 10 AS VARCHAR) AS activity_rule_id, sku_id, strftime(t, {T}) AS create_time, t, seq
   FROM extra WHERE l_linenumber % 3 = 0),
 oc AS (
   SELECT id, order_id, order_detail_id, CAST(l_partkey AS VARCHAR) AS coupon_id,
-    CAST(l_partkey % 10 AS VARCHAR) AS coupon_use_id, sku_id, strftime(t, {T}) AS create_time, t
+    CAST(l_partkey % 10 AS VARCHAR) AS coupon_use_id, sku_id, strftime(t, {T}) AS create_time, t, seq
   FROM extra WHERE l_returnflag = 'R'),
 dic AS (
   SELECT DISTINCT substr(o_orderpriority, 1, 1) AS dic_code, o_orderpriority AS dic_name FROM orders),
@@ -91,17 +92,19 @@ pay AS (
   FROM order_times WHERE o_orderstatus = 'F')"""
 
 WIDE = CHANGES + """,
-wide AS (
+versions AS (
   SELECT od.id, od.order_id, oi.user_id, od.sku_id, od.sku_name, od.sku_num, od.order_price, oi.province_id,
     oa.activity_id, oa.activity_rule_id, oc.coupon_id, od.create_time, od.source_id,
     od.source_type AS source_type_id, dic.dic_name AS source_type_name,
     CAST(NULL AS VARCHAR) AS split_activity_amount, CAST(NULL AS VARCHAR) AS split_coupon_amount,
-    od.split_total_amount
+    od.split_total_amount,
+    [greatest(od.seq, oi.seq, coalesce(oa.seq, [0]), coalesce(oc.seq, [0])), od.seq, oi.seq, oa.seq, oc.seq] AS version
   FROM od
   JOIN oi ON od.order_id = oi.id AND abs(epoch_ms(od.t) - epoch_ms(oi.t)) <= 5000
   LEFT JOIN oa ON od.id = oa.order_detail_id AND abs(epoch_ms(od.t) - epoch_ms(oa.t)) <= 5000
   LEFT JOIN oc ON od.id = oc.order_detail_id AND abs(epoch_ms(od.t) - epoch_ms(oc.t)) <= 5000
-  JOIN dic ON od.source_type = dic.dic_code)"""
+  JOIN dic ON od.source_type = dic.dic_code),
+wide AS (SELECT * EXCLUDE (version) FROM versions)"""
 
 SPU_DIMS = """
 sku_info AS (
@@ -304,10 +307,8 @@ SELECT id, order_id, order_detail_id, activity_id, activity_rule_id, sku_id, cre
 SELECT id, order_id, order_detail_id, coupon_id, coupon_use_id, sku_id, create_time FROM oc""",
     "payment_success_view": f"""WITH {CHANGES} SELECT user_id, order_id, payment_type, callback_time FROM pay""",
     "order_detail_wide": f"WITH {WIDE} SELECT * FROM wide",
-    "order_detail_upsert": f"""WITH {WIDE} SELECT * FROM wide
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY concat_ws('|', coalesce(sku_id, ''),
-  coalesce(activity_id, ''), coalesce(coupon_id, ''), coalesce(source_id, ''), order_price, sku_num)
-  COLLATE "C" DESC) = 1""",
+    "order_detail_upsert": f"""WITH {WIDE} SELECT * EXCLUDE (version) FROM versions
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1""",
     "pay_detail_success": f"""WITH {ORDER_DETAIL}, {CHANGES[len(ORDERS) + 1:]}
 SELECT d.id AS order_detail_id, d.order_id, d.user_id, d.sku_id, d.sku_name, d.province_id, d.activity_id,
   d.activity_rule_id, d.coupon_id, payment_type AS payment_type_code, dic_name AS payment_type_name,
@@ -319,8 +320,9 @@ JOIN dic ON payment_type = dic_code""",
     "first_per_detail": f"WITH {ORDER_DETAIL} SELECT {DETAIL_COLUMNS}, row_op_ts FROM earliest",
     "left_join_upsert": """
 SELECT id AS id_a, b.id_b, name_a, name_b
-FROM (SELECT CAST(o_custkey AS VARCHAR) AS id, printf('%012d', max(o_orderkey)) AS name_a FROM orders GROUP BY 1) a
-LEFT JOIN (SELECT CAST(c_custkey AS VARCHAR) AS id_b, c_name AS name_b FROM customer WHERE c_acctbal > 0) b
+FROM (SELECT CAST(o_custkey AS VARCHAR) AS id, printf('%012d', 999999999999 - max(o_orderkey)) AS name_a FROM orders GROUP BY 1) a
+LEFT JOIN (SELECT CAST(c_custkey AS VARCHAR) AS id_b, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS name_b
+           FROM customer WHERE c_acctbal > 0) b
   ON a.id = b.id_b""",
     "order_metric_rows": f"""WITH {ORDER_DETAIL}
 SELECT id, province_id, order_id, CAST(split_total_amount AS DOUBLE) AS order_amount,

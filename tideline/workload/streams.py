@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from tideline.functions.time import DATE_TIME, row_time
 from tideline.operators import dedup
 from tideline.operators.bounce import bounces
-from tideline.operators.cdc import latest_config
 from tideline.operators.lookup import lookup_chain
 from tideline.operators.windows import window_sum_by, with_bounds, with_event_time
-from tideline.plans import traffic, trade
-from tideline.plans.dimensions import route_batch
+from tideline.plans import jobs, traffic, trade
 from tideline.plans.left_join import left_join_upsert
-from tideline.schemas import ORDER_DETAIL_COLUMNS, PAY_DETAIL_COLUMNS, dimension_schema
+from tideline.schemas import (
+    ORDER_DETAIL_COLUMNS, PAY_DETAIL_COLUMNS, PAYMENT_SUCCESS, TABLE_PROCESS_TOPIC, TOPIC_DB, dimension_schema)
 from tideline.session import stream_session, work_dir
 from tideline.sinks.dimension import read_dimension
+from tideline.sinks.topics import write_json_topic
 from tideline.sinks.upsert import read_upsert
 from tideline.streaming.run import run_with_restarts, start_query
 from tideline.workload import batch, inputs
@@ -52,14 +52,22 @@ def _shaped(row, schema):
         for f in schema.fields))
 
 
-def page_stream(spark, session, sf, folder):
+def page_stream(spark, session, sf, folder, closings=1):
+    """Page views and closing rows, each of another device and 90 days after the one before."""
     pages = inputs.page_log(spark, sf)
-    common = F.struct(*(F.lit(END).alias(n) for n in ("mid", "uid", "vc", "ch", "ar")))
+    closing = None
+    for k in range(closings):
+        row = _closing_page(pages, END * (k + 1), (k + 1) * LATER_MS)
+        closing = row if closing is None else closing.unionByName(row)
+    return replay(session, pages, folder, closing)
+
+
+def _closing_page(pages, name, later):
+    common = F.struct(*(F.lit(name).alias(n) for n in ("mid", "uid", "vc", "ch", "ar")))
     page = F.struct(F.lit("home").alias("page_id"), F.lit(None).cast("string").alias("last_page_id"),
                     F.lit(0).cast("bigint").alias("during_time"))
-    last = pages.agg((F.max("ts") + LATER_MS).alias("ts"), F.max("arrival").alias("arrival"))
-    closing = last.select(common.alias("common"), page.alias("page"), "ts", "arrival")
-    return replay(session, pages, folder, closing)
+    last = pages.agg((F.max("ts") + later).alias("ts"), F.max("arrival").alias("arrival"))
+    return last.select(common.alias("common"), page.alias("page"), "ts", "arrival")
 
 
 def _closing_time(df, column):
@@ -85,7 +93,7 @@ def change_stream(spark, session, sf, folder, tables):
         keys = ("id", "order_id", "order_detail_id", "source_type", "payment_type")
         data = F.create_map(*(x for k in keys for x in (F.lit(k), F.lit(f"{END}{name}"))),
                             F.lit("create_time"), F.col("_t"), F.lit("callback_time"), F.col("_t"),
-                            F.lit("payment_status"), F.lit("1602"))
+                            F.lit("payment_status"), F.lit(PAYMENT_SUCCESS))
         row = _shaped(later.select(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                                    F.lit(kind).alias("type"), data.alias("data")), changes.schema)
         closing = row if closing is None else closing.unionByName(row)
@@ -113,13 +121,17 @@ def stream_bounces_1h(spark, sf):
 
 
 def stream_visit_summary_1d(spark, sf):
-    """Three queries chained by written topics, as the jobs are."""
+    """Three queries chained by written topics, as the jobs are.
+
+    The slowest input governs, so the bounces need a closing row too: the second closing
+    page lets the bounce of the first through.
+    """
     session, folder = stream_session(spark), work_dir(spark, "stream")
 
     def pages():
         return session.readStream.schema(source.schema).parquet(f"{folder}/in")
 
-    source = page_stream(spark, session, sf, f"{folder}/in")
+    source = page_stream(spark, session, sf, f"{folder}/in", closings=2)
     visitors = to_table(spark, traffic.unique_visitors(pages(), ("arrival",)), f"{folder}/visitors")
     jumps = to_table(spark, bounces(pages(), arrival="arrival"), f"{folder}/jumps")
     read = session.readStream.schema(source.schema)
@@ -225,22 +237,16 @@ def stream_left_join_upsert(spark, sf):
 
 
 def stream_dimension_snapshot(spark, sf):
-    """Changes routed per micro-batch with the configuration read each time."""
+    """The dimension job on topics: all changes of a key in one micro-batch, the last one wins."""
     session, folder = stream_session(spark), work_dir(spark, "stream")
-    changes = replay(session, inputs.dimension_changelog(spark, sf), f"{folder}/in")
-    envelopes = inputs.config_envelopes(spark)
-    envelopes.write.parquet(f"{folder}/config")
-
-    def each_batch(rows, batch_id):
-        config = latest_config(rows.sparkSession.read.parquet(f"{folder}/config"))
-        route_batch(rows.sparkSession, rows, config, f"{folder}/dims", batch_id, ("seq",))
-
-    run_with_restarts(lambda: start_query(
-        changes, f"{folder}/checkpoint", each_batch=each_batch, trigger=ONCE))
+    w = jobs.Warehouse(session, folder, f"{folder}/checkpoints", trigger=ONCE).prepare()
+    write_json_topic(inputs.dimension_changelog(spark, sf).drop("seq"), TOPIC_DB, fmt="text", root=w.topics)
+    write_json_topic(inputs.config_envelopes(spark), TABLE_PROCESS_TOPIC, fmt="text", root=w.topics)
+    run_with_restarts(lambda: jobs.dim_job(w))
     out = None
     for _, sink, columns, pk, extend in inputs.ROUTES:
         shape = dimension_schema(columns, pk, extend)
-        rows = read_dimension(spark, f"{folder}/dims", sink, shape).select(
+        rows = read_dimension(session, f"{w.root}/dims", sink, shape).select(
             F.lit(sink).alias("sink_table"), "id", *(
                 (F.col(c) if c in shape.names else F.lit(None).cast("string")).alias(c)
                 for c in ("name", "sku_name", "tm_id", "spu_id")))
