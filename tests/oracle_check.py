@@ -64,7 +64,7 @@ def main():
     con = connect(sf_dir)
     queries, sql = contract.queries(), contract.oracle_sql()
     failed = 0
-    for name in names or queries:
+    for name in names or sql:
         begin = time.time()
         try:
             problem = compare(spark, con, name, queries[name], sql[name], sf_dir)
