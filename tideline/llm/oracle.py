@@ -87,5 +87,39 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op11_external_stream_collocations": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM d
+), p AS (
+  SELECT lang, k, unnest([words[i:i + k - 1] for i in range(1, len(words) - k + 2)]) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(words) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*) AS a FROM p GROUP BY ALL HAVING count(*) >= 100
+), n AS (
+  SELECT lang, sum(len(words)) AS n FROM w GROUP BY lang
+), covered AS (
+  SELECT lang, phrase[1:k - 1] AS phrase, a FROM f WHERE k > 2
+  UNION SELECT lang, phrase[2:k] AS phrase, a FROM f WHERE k > 2
+), c AS (
+  SELECT * FROM f WHERE k > 1 AND (lang, phrase, a) NOT IN (SELECT (lang, phrase, a) FROM covered)
+), s AS (
+  SELECT c.lang, c.phrase, c.a, h.a AS l, t.a AS r, n.n,
+         (1000::HUGEINT * c.a * n.n) // (h.a::HUGEINT * t.a) AS score, cut
+  FROM c, (SELECT unnest([1, 2, 3, 4]) AS cut), f h, f t, n
+  WHERE cut < c.k AND h.lang = c.lang AND h.phrase = c.phrase[1:cut]
+    AND t.lang = c.lang AND t.phrase = c.phrase[cut + 1:c.k] AND n.lang = c.lang
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM s
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+         array_to_string(phrase, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+  FROM best WHERE nth = 1
+)
+SELECT * FROM ranked WHERE rank <= 2000
 """,
 }

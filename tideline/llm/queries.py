@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.llm import ann, exact, html_main, langid, line_chunks, mixing, packing, sharding, simhash, substrings
+from tideline.llm import ann, descent, exact, html_main, langid, line_chunks, mixing, packing, phrases, sharding, simhash, substrings, whitening
 
 
 def _table(spark, sf_dir, name):
@@ -67,6 +67,19 @@ def op10_streaming_exact_dedup(spark, sf_dir):
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_external_stream_collocations(spark, sf_dir):
+    found = phrases.top_phrases(_table(spark, sf_dir, "documents").select("text", "lang"), top=2000, longest=5, least=100)
+    return found.withColumnRenamed("group", "lang")
+
+
+def op12_nn_descent_duplicates(spark, sf_dir):
+    return descent.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op13_contour_whitening(spark, sf_dir):
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES = {
     "op1_hypergeometric_shards": op1_hypergeometric_shards,
     "op2_simhash_pivot_tables": op2_simhash_pivot_tables,
@@ -78,4 +91,7 @@ QUERIES = {
     "op8_level_wise_doubling": op8_level_wise_doubling,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_streaming_exact_dedup": op10_streaming_exact_dedup,
+    "op11_external_stream_collocations": op11_external_stream_collocations,
+    "op12_nn_descent_duplicates": op12_nn_descent_duplicates,
+    "op13_contour_whitening": op13_contour_whitening,
 }
