@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
@@ -109,6 +111,10 @@ class Packer:
             yield from self.close(part)
 
 
+LONG_SPACE = 10_000
+_LONG_SPACE = re.compile(r"\s{%d}" % LONG_SPACE)
+
+
 def cut(piece, length):
     """A piece as two, the first of ``length`` tokens. Ids take four bytes each."""
     doc, start, whole, ids, tokens = piece
@@ -121,7 +127,8 @@ class Encoder:
 
     ``tokenizers`` defines the ids. The same vocabulary read by ``tiktoken`` gives the same
     ids about four times faster (a test holds the two together over all code points), so
-    it encodes every text but those that contain a special token's string.
+    it encodes every text but those that contain a special token's string and those with a
+    run of ``LONG_SPACE`` white-space characters, on which ``tiktoken`` may fail.
     """
 
     def __init__(self, tokenizer, ranks):
@@ -143,7 +150,7 @@ class Encoder:
     def __call__(self, text):
         import numpy as np
 
-        if self.fast is None or any(s in text for s in self.special):
+        if self.fast is None or any(s in text for s in self.special) or _LONG_SPACE.search(text):
             ids = self.exact.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode_ordinary(text)
