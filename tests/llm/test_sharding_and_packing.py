@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from tideline.llm import packing, sharding
 
@@ -134,3 +135,26 @@ def test_packing_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(empty).collect() == []
     assert [(r["length"], r["ids"]) for r in pack_rows(spark, [None], parts=1).collect()] == [(1, bytearray(4))]
+
+
+@pytest.mark.parametrize("space", [" ", "\t", "\n"])
+def test_million_spaces_are_encoded(space):
+    encode = packing.Encoder("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
+    text = "a" + space * 1_000_100 + "b"
+    assert list(encode(text)) == encode.exact.encode(text, add_special_tokens=False).ids
+
+
+def test_matrix_over_billions_of_rows():
+    counts = [700_000_000, 900_000_000, 5, 0, 400_000_000]
+    sizes = sharding.shard_sizes(sum(counts), 7)
+    matrix = np.array(list(sharding.communication_matrix(counts, sizes, 3)))
+    assert matrix.sum(axis=1).tolist() == counts and matrix.sum(axis=0).tolist() == sizes
+
+
+def test_hypergeometric_law():
+    draw = np.random.default_rng(5)
+    for good, bad, count in ((30, 50, 20), (3, 400, 100), (5, 5, 10), (0, 4, 2), (4, 0, 2), (200, 100, 250)):
+        got = np.array([sharding.hypergeometric(draw, good, bad, count) for _ in range(4000)])
+        want = draw.hypergeometric(good, bad, count, 4000)
+        assert abs(got.mean() - want.mean()) <= 0.1 + 0.02 * want.std() and abs(got.std() - want.std()) <= 0.05 + 0.1 * want.std()
+        assert got.min() >= max(0, count - bad) and got.max() <= min(good, count)
