@@ -125,3 +125,10 @@ def test_hosts_agree_on_paths(spark):
     assert texts[8] == "Short." and texts[0] == (body * 3).strip()
     assert texts[11] == (body * 5).strip() and texts[9] == "" == texts[10]
     assert html_main.main_text(pages.limit(0)).collect() == []
+
+
+def test_vectors_of_another_length_only_lose_themselves(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in draw.normal(size=3)]) for i in range(60)] + [(60, [1.0, 2.0, 3.0, 4.0])]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    assert len(got) == 60 and {r["query_id"] for r in got} == {0, 20, 40}

@@ -84,8 +84,8 @@ def nearest(points, is_query, vector="embedding", id="vec_id", top=20, tables=8,
     which a query meets fewer than ``top`` points is searched in full.
 
     A bucket of very many equal points spreads over all blocks. Null vectors, zero
-    vectors, vectors with null or non-finite components and vectors shorter than the
-    longest take no part, nor do rows without id. Repeated rows are points of their own.
+    vectors, vectors with null or non-finite components and vectors of another length
+    than most have (ties: the longer) take no part, nor do rows without id. Repeated rows are points of their own.
     An empty table gives no rows.
     """
     v = F.col(f"`{vector}`").cast("array<double>")
@@ -93,9 +93,9 @@ def nearest(points, is_query, vector="embedding", id="vec_id", top=20, tables=8,
         F.col(f"`{id}`").cast("long").alias("__id"), v.alias("__v"), F.coalesce(is_query, F.lit(False)).alias("__q"),
         F.monotonically_increasing_id().alias("__at")).filter(usable(F.col("__v")) & F.col("__id").isNotNull()))
     square = F.aggregate("__v", F.lit(0.0), lambda s, x: s + x * x)
-    count, dims, length = rows.select(F.size("__v").alias("d"), F.sqrt(square).alias("l")).agg(
-        F.count(F.lit(1)), F.max("d"), F.max(F.struct("d", "l"))["l"]).first()
-    dims, length = dims or 1, length or 1.0
+    found = (rows.groupBy(F.size("__v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(square)).alias("l"))
+             .orderBy(F.desc("n"), F.desc("d")).first())
+    dims, count, length = found or (1, 0, 1.0)
     blocks = max(1, round((count / 256) ** 0.5))
     rows = rows.filter(F.size("__v") == dims)
     members = rows.withColumns({"__block": F.pmod(F.xxhash64("__at"), F.lit(blocks)).cast("long"), "__q": F.lit(False)})
