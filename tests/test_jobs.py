@@ -195,3 +195,33 @@ def test_trade_jobs(warehouse):
     assert sorted(read("trade_user_spu_order_window"), key=str) == sorted([
         (*bounds, "2", "O'Neil", "2", "c1", "13", "c2", "61", "c3", "57", "3", "spu three", 1, 17.0),
         (*bounds, *[None] * 8, "57", None, None, 1, 1.5)], key=str)
+
+
+def test_failure_of_any_query_restarts_the_job():
+    from types import SimpleNamespace
+
+    from pyspark.errors import StreamingQueryException
+
+    class Query:
+        def __init__(self, fails):
+            self.fails, self.stopped = fails, False
+
+        def awaitTermination(self, timeout=None):
+            if self.fails:
+                raise StreamingQueryException("lost")
+            # An endless query, until its job has been started again.
+            assert timeout is not None
+            return len(started) > 1
+
+        def stop(self):
+            self.stopped = True
+
+    started = []
+
+    def job(w):
+        started.append((Query(False), Query(not started)))
+        return started[-1]
+
+    jobs.run_job(job, SimpleNamespace(restarts=1))
+    assert len(started) == 2
+    assert [q.stopped for q in started[0]] == [True, True]

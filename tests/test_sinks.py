@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,19 @@ def test_taps_see_the_rows_of_the_sink(streams, folder):
     shown = taps.tap_rows(stream, "shown", fmt="memory")
     shown.awaitTermination()
     assert streams.sql("select count(*) from shown").first()[0] == 7
+
+
+def test_numbered_asks_only_about_wanted_folders(spark, folder, monkeypatch):
+    from tideline.sinks import files
+
+    for n in range(12):
+        os.makedirs(f"{folder}/batch_id={n}")
+        if n != 10:
+            open(f"{folder}/batch_id={n}/_SUCCESS", "w").close()
+    asked = []
+    exists = files.path_exists
+    monkeypatch.setattr(files, "path_exists", lambda s, path: asked.append(path) or exists(s, path))
+    assert files.numbered(spark, folder, "batch_id", above=8) == [9, 11]
+    assert len(asked) == 4
+    assert files.numbered(spark, folder, "batch_id", above=3, upto=5) == [4, 5]
+    assert len(files.numbered(spark, folder, "batch_id")) == 11

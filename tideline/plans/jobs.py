@@ -121,8 +121,10 @@ def run_job(job, w, **options):
         started = job(w, **options)
         queries = started if isinstance(started, tuple) else (started,)
         try:
-            for query in queries:
-                query.awaitTermination()
+            # In turn, so that the failure of any is seen while others go on.
+            waiting = list(queries)
+            while waiting:
+                waiting = [query for query in waiting if not query.awaitTermination(1)]
             return
         except StreamingQueryException:
             for query in queries:

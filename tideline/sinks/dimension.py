@@ -36,7 +36,7 @@ LOG = (T.StructType().add("sink_table", "string").add("pk", "string")
 
 def _changes(spark, root, sink_table, after, upto=None):
     """Logged rows of batches after ``after``: only their folders are listed and read."""
-    batches = [n for n in numbered(spark, f"{root}/log", "batch_id") if n > after and (upto is None or n <= upto)]
+    batches = numbered(spark, f"{root}/log", "batch_id", above=after, upto=upto)
     if not batches:
         return None
     log = (spark.read.schema(LOG).option("basePath", f"{root}/log")

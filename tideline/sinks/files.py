@@ -13,11 +13,15 @@ def path_exists(spark, path):
     return fs.exists(hadoop_path)
 
 
-def numbered(spark, path, key):
-    """The numbers of the finished folders ``key=N`` in ``path``, sorted; lists one level only."""
+def numbered(spark, path, key, above=None, upto=None):
+    """The numbers of the finished folders ``key=N`` in ``path``, sorted; lists one level only.
+
+    Only numbers over ``above`` and not over ``upto`` are asked about, one call each.
+    """
     if not path_exists(spark, path):
         return []
     fs, hadoop_path = _located(spark, path)
     names = [entry.getPath().getName() for entry in fs.listStatus(hadoop_path)]
     found = (int(name[len(key) + 1:]) for name in names if name.startswith(f"{key}="))
-    return sorted(n for n in found if path_exists(spark, f"{path}/{key}={n}/_SUCCESS"))
+    wanted = (n for n in found if (above is None or n > above) and (upto is None or n <= upto))
+    return sorted(n for n in wanted if path_exists(spark, f"{path}/{key}={n}/_SUCCESS"))
