@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import math
+import random
+import time
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tideline.llm import ann, html_main
@@ -132,3 +135,73 @@ def test_vectors_of_another_length_only_lose_themselves(spark):
     rows = [(i, [float(x) for x in draw.normal(size=3)]) for i in range(60)] + [(60, [1.0, 2.0, 3.0, 4.0])]
     got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
     assert len(got) == 60 and {r["query_id"] for r in got} == {0, 20, 40}
+
+
+SENTENCE = "A sentence of the article, with commas, that is long enough to count here."
+
+
+@pytest.mark.parametrize("source,want", [
+    (f'<div class="layout has-sidebar"><article><p>{SENTENCE}</p></article></div>', SENTENCE),
+    (f'<article class="post comment-status-open"><p>{SENTENCE}</p></article>', SENTENCE),
+    (f'<div id="content" class="with-nav"><p>{SENTENCE}</p></div>', SENTENCE),
+    (f'<div class="ad">Buy<article><p>{SENTENCE}</p></article>', SENTENCE),
+    (f'<article><div class="post-header"><h1>Head</h1></div><p>{SENTENCE}</p></article>', f"Head\n\n{SENTENCE}"),
+    (f'<body><div class="content"><div class="intro"><p>{SENTENCE}</p></div><div class="body"><p>{SENTENCE}</p><p>{SENTENCE}</p></div></div>',
+     "\n\n".join([SENTENCE] * 3)),
+    (f'<body><div class="content"><h1>Head</h1><div><div class="body"><p>{SENTENCE}</p></div></div></div>', f"Head\n\n{SENTENCE}"),
+    (f'<body><div class="nav-wrap"><p>{SENTENCE}</p></div><div class="comments"><p>{SENTENCE * 2}</p></div></body>', SENTENCE),
+    (f'<article><p>{SENTENCE}</p><div id="comments"><article><p>{SENTENCE * 9}</p></article></div></article>', SENTENCE),
+    (f'<div class="related"><article><p>{SENTENCE * 5}</p></article></div><article><p>{SENTENCE}</p></article>', SENTENCE),
+    ("<ul><li>a<li>b<ul><li>c</ul>d<li>e</ul>", "a\n\nb\n\nc\n\nd\n\ne"),
+])
+def test_articles_in_usual_layouts(source, want):
+    assert text_of(source) == want
+
+
+@pytest.mark.parametrize("source", [
+    "<a " * 66_000, "<li>x" * 50_000, "<td>x" * 50_000, "<div>x" * 50_000, "<a \"'>x" * 50_000 + '"', "<!--" * 50_000, "<script>" * 50_000,
+    "<article>" * 30_000 + "x", "<div>" * 30_000 + "<li></li>" * 30_000, "<div>" * 20_000 + "<article>" + "<section>x</div>" * 20_000,
+    "<div>" * 20_000 + "<nav><article></article></nav>" * 20_000], ids=lambda s: s[:14])
+def test_long_broken_pages_take_time_by_their_length(source):
+    def seconds(text):
+        begun = time.process_time()
+        text_of(text)
+        return time.process_time() - begun
+
+    assert seconds(source) < 6
+
+
+def test_implied_ends_do_not_nest():
+    assert len(set(map(html_main.Page("<table>" + "<tr><td>x" * 300).path, range(601)))) == 4
+    page = html_main.Page("<div>" * 300 + SENTENCE)
+    assert page.path(page.best()).count("/") == html_main.PATH_STEPS - 1
+
+
+def test_generated_pages_lose_nothing_and_gain_nothing(spark):
+    draw = random.Random(6)
+    around = ["<nav><a href='/'>Home</a> menu</nav>", "<div class='ad'>Buy this, now, today, or never again in your life.</div>",
+              "<aside><p>Aside, with commas, and a long enough sentence.</p></aside>", "<footer>End</footer>", "<script>if (a < b) {}</script>",
+              "<div class='cookie-notice'><p>We use cookies, as all do, on all of our pages.</p></div>", "<form><input>Mail</form>",
+              "<section id='comments'><article><p>A reader says, at length, that this is wrong.</p></article></section>"]
+    shapes = ["<div class='layout has-sidebar'><article>{0}{1}</article></div>", "<main>{0}{1}</main>",
+              "<div class='story-{2}'><div class='intro'>{0}</div><div class='rest'>{1}</div></div>", "<div class='post with-nav'>{0}{1}</div>"]
+
+    def blocks(count):
+        made = [(draw.choice(["<p>{}</p>", "<p>{}", "<blockquote>{}</blockquote>", "<ul><li>{}</ul>"]), f"{SENTENCE} Number {draw.random()} &amp; <b>more</b>.")
+                for _ in range(count)]
+        return "".join(shape.format(text) for shape, text in made), [t.replace("&amp;", "&").replace("<b>", "").replace("</b>", "") for _, t in made]
+
+    rows, want = [], {}
+    for number in range(200):
+        host = number % 8
+        first, second = blocks(draw.randint(2, 4)), blocks(draw.randint(2, 4))
+        before, after = (draw.sample(around, draw.randint(0, 4)) for _ in range(2))
+        # Two templates on each host.
+        body = shapes[(host + number // 8 % 2) % 4].format(first[0], second[0], number)
+        rows.append((number, f"http://h{host}.example/{number}", f"<html><body>{''.join(before)}{body}{''.join(after)}</body></html>"))
+        want[number] = "\n\n".join(first[1] + second[1])
+    # The path that the host agrees on is there, but empty.
+    rows.append((200, "http://h1.example/odd", f"<html><body><main></main><section class='x'><p>{SENTENCE}</p></section></body></html>"))
+    want[200] = SENTENCE
+    got = html_main.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Window
@@ -27,97 +28,209 @@ ASIDE_WORDS = frozenset("ad ads advert advertisement adverts banner breadcrumb b
                         "disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices popup promo "
                         "promotion related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar "
                         "widget".split())
+# Of these, the ones whose containers often hold articles that are not the page's own.
+LIST_WORDS = frozenset("comment comments disqus promo promotion related replies respond sidebar widget".split())
+# Words that make a class name tell a state of the page, such as has-sidebar or comment-status-open.
+STATE_FIRST = frozenset("has hide is no not show with without".split())
+STATE_LATER = frozenset("closed disabled enabled off on open status".split())
+# Words that make a header part of the article, such as post-header.
+ARTICLE_WORDS = frozenset("article content entry post story".split())
 # What wraps a page by mistake or habit gives way to an article inside it.
 YIELDING = frozenset("form header nav".split())
-SOFT, FIRM = 1, 2
-
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
-                    re.DOTALL)
+# Why an element is left out: it gives way to any article, to the first one, to none.
+SOFT, MARKED, FIRM = 1, 2, 3
+ROOTS = ("article", "main")
+HEADINGS = frozenset("h1 h2 h3".split())
+# An opening tag that may stand without the closing tag of the one before it: what it closes, and what stops it.
+IMPLIED = {
+    "li": (("li",), ("ul", "ol")),
+    "td": (("td",), ("tr", "tbody", "table")),
+    "tr": (("tr", "td"), ("tbody", "table")),
+    "tbody": (("tbody", "tr", "td"), ("table",)),
+}
+# A path is the last steps to a container, so that deep nesting costs no more than its depth.
+PATH_STEPS = 12
+
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_TAG_END = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*+>""")
 _LABEL = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>|\Z", re.IGNORECASE) for name in RAW}
 _DIGITS = re.compile(r"\d+")
 
 
+def tags(source):
+    """``(text before, closing, name, attributes)`` of each tag, and last the text behind all, without name.
+
+    Reads on from where it is, never twice: behind the last ``>`` all is text, and once
+    quotes have been found not to match up to the end, later tags end at their first ``>``.
+    """
+    at = text_from = 0
+    last, quotes = source.rfind(">"), True
+    while True:
+        at = source.find("<", at)
+        if at < 0 or at > last and not source.startswith("<!--", at):
+            break
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            end = len(source) if end < 0 else end + 3
+            yield source[text_from:at], False, "", ""
+        elif source[at + 1] in "!?":
+            end = source.find(">", at) + 1
+            yield source[text_from:at], False, "", ""
+        else:
+            closing = source[at + 1] == "/"
+            name = _NAME.match(source, at + 1 + closing)
+            if name is None:
+                at += 1
+                continue
+            found = _TAG_END.match(source, name.end()) if quotes else None
+            quotes = found is not None
+            end = found.end() if found else source.find(">", name.end()) + 1
+            tag = name[0].lower()
+            yield source[text_from:at], closing, tag, source[name.end():end - 1]
+            if tag in RAW and not closing:
+                end = _RAW_END[tag].search(source, end).end()
+        at = text_from = end
+    yield source[text_from:], False, "", ""
+
+
+def marks(found):
+    """The words of class, id and role that mark what is not the article; names of states mark nothing."""
+    out = set()
+    for token in " ".join(found.values()).lower().split():
+        words = [w for w in re.split(r"[^a-z]+", token) if w]
+        if not words or words[0] in STATE_FIRST or STATE_LATER.intersection(words[1:]):
+            continue
+        marking = ASIDE_WORDS.intersection(words)
+        out |= marking - {"header"} if ARTICLE_WORDS.intersection(words) else marking
+    return out
+
+
 class Page:
     """Containers and text blocks of one page, in page order.
 
-    ``containers`` are (parent, path, score); ``blocks`` are (container, text). A path lists
-    tags from the outside in, each with its first class, digits generalised to ``#``.
+    Of each container ``parent``, ``label`` (its tag and first class, digits generalised to
+    ``#``), ``own`` (the score of its own blocks), ``score`` (with half of its children's)
+    and ``headed`` (a heading is among its own blocks); ``blocks`` are (container, text).
     """
 
     def __init__(self, source):
-        self.containers = [[-1, "", 0.0]]
-        self.blocks = []
-        # Open elements: tag, container, why left out (0: it is not).
-        self.open = [("", 0, 0)]
-        self.words, self.linked, self.anchors = [], 0, 0
-        self.read(source)
-        self.end_block()
+        # Where class names alone hide all sentences of a page, they are not believed.
+        self.read(source, True)
+        if self.hidden and not any(self.own):
+            self.read(source, False)
 
-    def read(self, source):
-        at, size = 0, len(source)
-        while at < size:
-            token = _TOKEN.search(source, at)
-            self.add_text(source[at:token.start() if token else size])
-            if token is None:
-                return
-            at = token.end()
-            closing, tag, labels = (token[1], token[2], token[3]) if token[2] else (token[4], token[5], token[6])
-            if not tag:
+    def read(self, source, strict):
+        self.parent, self.label, self.own, self.score, self.headed = [-1], [""], [0.0], [0.0], [False]
+        self.blocks = []
+        # Open elements: tag, container, why left out (0: it is not), where leaving out began.
+        self.open = [("", 0, 0, 0)]
+        # Open tags by name, per open article or main element; and where these stand.
+        self.scopes, self.roots, self.outer = [Counter()], [], Counter()
+        self.words, self.linked, self.anchors, self.heading = [], 0, 0, False
+        self.strict, self.hidden = strict, False
+        for text, closing, tag, labels in tags(source):
+            self.add_text(text)
+            if not tag or tag in RAW:
                 continue
-            tag = tag.lower()
-            if tag in RAW:
-                if not closing:
-                    at = _RAW_END[tag].search(source, at).end()
-            elif closing:
+            if closing:
                 self.close_tag(tag)
             else:
-                self.open_tag(tag, labels or "")
+                self.open_tag(tag, labels)
+        self.end_block()
 
     def add_text(self, text):
-        if text and not self.open[-1][2]:
+        why = self.open[-1][2]
+        if text and not why:
             self.words.append(text)
             self.linked += len(text) if self.anchors else 0
+        elif why == MARKED and not self.hidden:
+            self.hidden = len(text.strip()) >= 25
+
+    def cut(self, at):
+        """Close the open elements from position ``at`` on."""
+        while len(self.open) > at:
+            tag = self.open.pop()[0]
+            if tag in ROOTS:
+                self.scopes.pop()
+                self.roots.pop()
+            self.scopes[-1][tag] -= 1
+            self.outer[tag] -= 1
 
     def open_tag(self, tag, labels):
         if tag in BREAKS or tag in LEFT_OUT:
             self.end_block()
+            self.heading = tag in HEADINGS
         elif tag == "br":
             self.add_text(" ")
         if tag == "a":
             self.anchors = 1
         if self.open[-1][0] == "head" and tag in BREAKS:
-            self.open.pop()
+            self.cut(len(self.open) - 1)
         if tag in VOID or tag not in CONTAINERS and tag not in LEFT_OUT:
             return
-        inside = any(t in ("article", "main") for t, _, _ in self.open)
-        if tag in ("article", "main") and self.open[-1][2] == SOFT:
-            del self.open[[why for _, _, why in self.open].index(SOFT):]
+        if tag in IMPLIED:
+            self.imply(*IMPLIED[tag])
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _LABEL.finditer(labels)} if labels else {}
-        marks = {w for value in found.values() for w in re.split(r"[^a-z]+", value.lower())}
-        out = self.open[-1][2]
+        marked = marks(found) if found and tag not in ("html", "body", "main") else frozenset()
+        if tag == "article":
+            marked &= LIST_WORDS
+        inside, why = bool(self.roots), self.open[-1][2]
+        if tag in ROOTS and (why == SOFT or why == MARKED and not inside):
+            self.cut(self.open[-1][3])
+        _, parent, out, since = self.open[-1]
+        reason = 0
         if tag in LEFT_OUT and not (tag == "header" and inside):
-            out = max(out, SOFT if tag in YIELDING else FIRM)
-        if tag not in ("html", "body", "main") and marks & ASIDE_WORDS:
-            out = FIRM
-        parent = self.open[-1][1]
+            reason = SOFT if tag in YIELDING else FIRM
+        if marked & LIST_WORDS:
+            reason = FIRM
+        elif marked and self.strict:
+            reason = max(reason, MARKED)
+        if reason and not out:
+            since = len(self.open)
+        out = max(out, reason)
         if not out:
             first = _DIGITS.sub("#", (found.get("class", "").split() or [""])[0].lower())
-            self.containers.append([parent, f"{self.containers[parent][1]}/{tag}{'.' + first if first else ''}", 0.0])
-        self.open.append((tag, parent if out else len(self.containers) - 1, out))
+            self.parent.append(parent)
+            self.label.append(f"{tag}.{first}" if first else tag)
+            self.own.append(0.0)
+            self.score.append(0.0)
+            self.headed.append(False)
+            parent = len(self.parent) - 1
+        self.scopes[-1][tag] += 1
+        self.outer[tag] += 1
+        if tag in ROOTS:
+            self.roots.append(len(self.open))
+            self.scopes.append(Counter())
+        self.open.append((tag, parent, out, since))
+
+    def imply(self, closes, stops):
+        """Close what the tag about to open ends, inside its list or table."""
+        if not any(self.scopes[-1][tag] for tag in closes):
+            return
+        found = None
+        for at in range(len(self.open) - 1, 0, -1):
+            tag = self.open[at][0]
+            if tag in stops or tag in ROOTS:
+                break
+            found = at if tag in closes else found
+        if found is not None:
+            self.cut(found)
 
     def close_tag(self, tag):
         if tag in BREAKS or tag in LEFT_OUT:
             self.end_block()
         if tag == "a":
             self.anchors = 0
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at][0] == tag:
-                del self.open[at:]
-                return
-            # A closing tag does not reach out of the article.
-            if self.open[at][0] in ("article", "main") and tag not in ("body", "html"):
-                return
+        if tag in ROOTS:
+            if self.roots and self.open[self.roots[-1]][0] == tag:
+                self.cut(self.roots[-1])
+        # A closing tag does not reach out of the article, but for the page's own.
+        elif self.scopes[-1][tag] or tag in ("body", "html") and self.outer[tag]:
+            at = len(self.open) - 1
+            while self.open[at][0] != tag:
+                at -= 1
+            self.cut(at)
 
     def end_block(self):
         if self.words:
@@ -125,42 +238,69 @@ class Page:
             if text:
                 container = self.open[-1][1]
                 self.blocks.append((container, text))
-                self.score(container, text)
-        self.words, self.linked = [], 0
+                self.rate(container, text)
+        self.words, self.linked, self.heading = [], 0, False
 
-    def score(self, container, text):
+    def rate(self, container, text):
         """Long sentences outside links speak for their container, and half for its parent."""
         worth = min(len(text) / 100, 3.0) + (text.count(",") * 0.5 + 1.0 if len(text) >= 25 else 0.0)
         worth *= 1.0 - min(1.0, self.linked / len(text))
-        self.containers[container][2] += worth
-        parent = self.containers[container][0]
+        self.own[container] += worth
+        self.score[container] += worth
+        self.headed[container] |= self.heading and worth > 0
+        parent = self.parent[container]
         if parent >= 0:
-            self.containers[parent][2] += worth / 2
+            self.score[parent] += worth / 2
 
-    def best(self):
-        """The container with the largest score; an article or main element counts double."""
-        def worth(c):
-            last = self.containers[c][1].rsplit("/", 1)[-1].split(".")[0]
-            return self.containers[c][2] * (2.0 if last in ("article", "main") else 1.0)
+    def tag(self, container):
+        return self.label[container].split(".")[0]
 
-        return max(range(len(self.containers)), key=lambda c: (worth(c), -c))
+    def best(self, share=0.2):
+        """The container with the largest score; an article or main element counts double.
+
+        Below the body it gives way to a container around it that has a heading of its own
+        or holds at least ``share`` as much beside it: an article in several parts.
+        """
+        def worth(c):
+            return self.score[c] * (2.0 if self.tag(c) in ROOTS else 1.0)
+
+        best = max(range(len(self.parent)), key=lambda c: (worth(c), -c))
+        whole = list(self.own)
+        for c in range(len(whole) - 1, 0, -1):
+            whole[self.parent[c]] += whole[c]
+        around = best
+        while self.tag(around) not in ROOTS:
+            around = self.parent[around]
+            if around <= 0 or self.tag(around) in ("html", "body"):
+                break
+            if self.headed[around] or whole[around] - whole[best] >= share * whole[best] > 0:
+                best = around
+        return best
+
+    def path(self, container):
+        """The last steps to a container, from the outside in."""
+        steps = []
+        while container > 0 and len(steps) < PATH_STEPS:
+            steps.append(self.label[container])
+            container = self.parent[container]
+        return "/".join(reversed(steps))
 
     def text(self, roots):
         """Blocks inside any of the containers, joined by empty lines."""
         inside = []
-        for number, (parent, _, _) in enumerate(self.containers):
+        for number, parent in enumerate(self.parent):
             inside.append(number in roots or parent >= 0 and inside[parent])
         return "\n\n".join(text for container, text in self.blocks if inside[container])
 
     def matching(self, paths):
-        return {n for n, c in enumerate(self.containers) if c[1] in paths}
+        return {c for c in range(len(self.parent)) if self.path(c) in paths} if paths else set()
 
 
 def _vote(pages: pa.Array) -> pa.Array:
     out = []
     for page in map(Page, (p.as_py() or "" for p in pages)):
         best = page.best()
-        out.append((page.containers[best][1], page.containers[best][2]))
+        out.append((page.path(best), page.score[best]))
     paths, scores = zip(*out) if out else ((), ())
     return pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(scores, pa.float64())], ["path", "score"])
 
@@ -169,7 +309,7 @@ def _extract(pages: pa.Array, winners: pa.Array) -> pa.Array:
     out = []
     for source, paths in zip(pages, winners.to_pylist()):
         page = Page(source.as_py() or "")
-        out.append(page.text(page.matching(set(paths or ())) or {page.best()}))
+        out.append(page.text(page.matching(set(paths or ()))) or page.text({page.best()}))
     return pa.array(out, pa.string())
 
 
@@ -193,12 +333,15 @@ def main_text(pages, html="html", url="url", share=0.2):
 
     Each page scores its containers and votes for the path of its best one; a host's winning
     paths then decide on all its pages. A page takes all its containers on winning paths, in
-    page order; a page with none takes its own best container.
+    page order; a page with none, or without text in them, takes its own best container.
 
     Menus, headers, footers, asides, forms, adverts, notices, comments, scripts and styles
-    are left out by element and by the words in class, id and role. Character references
-    are decoded, white space in a block is one space, blocks are joined by two line feeds.
-    Broken markup closes where its parent does. Null and empty pages give an empty text. A
+    are left out by element and by the words in class, id and role, unless these name a
+    state (``has-sidebar``) or leave no sentence on the page. An article element inside
+    marked wrappers is kept, but not one among comments or related pages. Character
+    references are decoded, white space in a block is one space, blocks are joined by two
+    line feeds. Broken markup closes where its parent does; list items and table cells close
+    at the next one. Reading takes time and memory in proportion to the page. Null and empty pages give an empty text. A
     url without host votes among such pages. Repeated pages vote each. An empty table
     gives no rows. Columns of ``pages`` named like an added column are replaced.
     """
