@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 
 from tideline import schemas
 from tideline.plans import jobs
+from tideline.sinks.routes import fold_routes, read_routes
 from tideline.sinks.summary import read_summary
 from tideline.sinks.upsert import read_upsert
+from tideline.sources.topics import CONFIG_ENVELOPE as ROUTE_ENVELOPE
 
 # 2022-05-14 00:00:00 UTC
 T0 = 1652486400000
@@ -43,6 +46,13 @@ def put(w, topic, lines):
     rows.write.mode("append").text(f"{w.topics}/{topic}")
 
 
+def spoil(folder, suffix, content):
+    """Overwrite the files below a folder in place."""
+    for path in Path(folder).rglob(f"*{suffix}"):
+        path.write_bytes(content)
+        path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+
+
 def finish(*queries):
     for query in queries:
         query.awaitTermination()
@@ -124,6 +134,46 @@ def test_last_change_wins_in_one_batch_and_bad_routes_are_set_aside(warehouse):
     assert names() == [("1", "apple"), ("2", None)]
 
 
+def test_routes_are_folded_and_old_ones_not_read_again(warehouse):
+    w = warehouse
+
+    def deleted(source, ms):
+        return json.dumps({"before": {"source_table": source}, "after": None, "op": "d", "ts_ms": ms, "seq": 0})
+
+    def later(line, ms):
+        return json.dumps({**json.loads(line), "ts_ms": ms})
+
+    def run(routes, changes):
+        put(w, schemas.TABLE_PROCESS_TOPIC, routes)
+        put(w, schemas.TOPIC_DB, changes)
+        jobs.run_job(jobs.dim_job, w)
+        return {r["source_table"]: r["sink_columns"] for r in read_routes(w.spark, f"{w.root}/dims").collect()}
+
+    def names():
+        return sorted(tuple(r) for r in w.dimension("base_trademark", "id,tm_name").collect())
+
+    mark = lambda n: change("base_trademark", {"id": n, "tm_name": n}, xid=int(n))
+    assert run([route("base_trademark", "id,tm_name"), route("sku_info", "id")], [mark("1")]) == {
+        "base_trademark": "id,tm_name", "sku_info": "id"}
+    # A route holds for the changes of its own batch; an older image does not win over a delete.
+    assert run([deleted("base_trademark", 5), later(route("base_trademark", "id"), 3)], [mark("2")]) == {"sku_info": "id"}
+    assert run([later(route("base_trademark", "id,tm_name"), 4)], [mark("3")]) == {"sku_info": "id"}
+    assert names() == [("1", "1")]
+    assert run([later(route("base_trademark", "id,tm_name"), 6)], [mark("4")]) == {
+        "base_trademark": "id,tm_name", "sku_info": "id"}
+    assert names() == [("1", "1"), ("4", "4")]
+
+    # History is not read: with its files made unreadable, new changes still find their routes.
+    spoil(f"{w.topics}/{schemas.TABLE_PROCESS_TOPIC}", ".txt", b'{"after":{"source_table":"spoilt"},"ts_ms":99}')
+    put(w, schemas.TOPIC_DB, [mark("5")])
+    jobs.run_job(jobs.dim_job, w)
+    assert names() == [("1", "1"), ("4", "4"), ("5", "5")]
+    # A batch folded again gives the same snapshot.
+    again = w.spark.createDataFrame([], ROUTE_ENVELOPE)
+    fold_routes(again, f"{w.root}/dims", 9)
+    assert read_routes(w.spark, f"{w.root}/dims").count() == 2
+
+
 def test_trade_jobs(warehouse):
     w = warehouse
     put(w, "table_process", [

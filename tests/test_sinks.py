@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tideline import schemas
+from tideline.operators import lookup
 from tideline.sinks import dimension, summary, taps, topics, upsert
+from tideline.sources import tables
 from tideline.sources.topics import read_json_stream, read_text_stream
 
 
@@ -79,6 +82,77 @@ def test_dimension_created_once_and_retry_counts_once(spark, folder):
     assert read() == [("1", "z"), ("2", None)]
 
 
+def test_lookup_reads_only_the_buckets_of_its_keys(spark, folder):
+    shape = dimension.ensure_dimension_table(
+        spark, folder, {"sink_table": "dim_t", "sink_columns": "id,a,key", "sink_pk": None, "sink_extend": None})
+
+    def log(batch_id, ids, value):
+        routed = spark.createDataFrame([("dim_t", "id", {"id": str(i), "a": f"{value}{i}"}, 1) for i in ids],
+                                       "sink_table string, sink_pk string, data map<string,string>, seq bigint")
+        dimension.upsert_dimension(routed, folder, batch_id, ("seq",))
+
+    def wanted(*ids):
+        return lookup.keys_of(spark.createDataFrame([(i,) for i in ids], "k string"), "k")
+
+    def read(keys=None):
+        return sorted(r["a"] for r in dimension.read_dimension(spark, folder, "dim_t", shape, keys).collect())
+
+    log(0, range(400), "old")
+    dimension.compact_dimension(spark, folder, "dim_t", shape, bucket_rows=20)
+    log(1, range(7), "new")
+    assert len(read()) == 400
+    assert read(wanted("3", "300", "900", None, "3")) == ["new3", "old300"] and read(wanted()) == []
+    dimension.compact_dimension(spark, folder, "dim_t", shape, bucket_rows=20)
+
+    # The buckets of other keys may be unreadable.
+    files = list(Path(f"{folder}/base/dim_t/upto=1").rglob("*.parquet"))
+    needed = {int(p.parent.name.split("=")[1]) for p in files
+              if {"3", "300"} & {r["id"] for r in spark.read.parquet(str(p)).collect()}}
+    assert len({p.parent for p in files}) > 10 and len(needed) <= 2
+    for path in files:
+        if int(path.parent.name.split("=")[1]) not in needed:
+            path.write_bytes(b"not parquet")
+            path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    assert read(wanted("3", "300")) == ["new3", "old300"]
+
+    # Through the lookups, a missing key and a null among them.
+    def dim(keys):
+        return dimension.read_dimension(spark, folder, "dim_t", shape, keys)
+
+    facts = spark.createDataFrame([("3", 1), ("300", 2), (None, 3)], "k string, n int")
+    got = lookup.lookup_dim(facts, dim, "k", {"name": "a"}).collect()
+    assert sorted((r["n"], r["name"]) for r in got) == [(1, "new3"), (2, "old300"), (3, None)]
+    chained = lookup.lookup_chain(facts, [(dim, "k", {"again": "id"}), (dim, "again", {"name": "a"})]).collect()
+    assert sorted((r["n"], r["again"], r["name"]) for r in chained) == [(1, "3", "new3"), (2, "300", "old300"), (3, None, None)]
+
+
+def test_lookup_table_gets_a_short_list_of_keys(spark, folder):
+    spark.range(3000).selectExpr("cast(id as string) dic_code", "concat('n', id) dic_name").write.parquet(f"{folder}/base_dic")
+    facts = spark.createDataFrame([("7",), ("7",), (None,), ("none",)], "code string")
+
+    def dictionary(keys):
+        return tables.read_lookup_table(spark, "base_dic", root=folder, keys=keys, by="dic_code")
+
+    assert [tuple(r) for r in lookup.lookup_as_of_now(facts, dictionary, "code", "name").collect()] == [("7", "n7")] * 2
+    assert dictionary(lookup.keys_of(facts, "code")).count() == 1
+    many = spark.range(2000).selectExpr("cast(id as string) code")
+    assert lookup.lookup_as_of_now(many, dictionary, "code", "name").count() == 2000
+
+
+def test_rows_without_key_are_spread(spark):
+    facts = spark.range(20_000).selectExpr("cast(null as string) k", "id")
+    dim = spark.createDataFrame([("1", "one")], "id string, name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = lookup.lookup_dim(facts, dim, "k", {"n": "name"}).withColumn("part", F.spark_partition_id())
+        sizes = [r["count"] for r in out.groupBy("part").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20_000 and max(sizes) < 8_000
+
+
 def test_summary_columns_in_sink_order_without_transient(spark, folder):
     values = {f.name: F.lit("x") for f in schemas.USER_SPU_SUMMARY.fields}
     values.update(order_count=F.lit(1), order_amount=F.lit(2.0), ts=F.lit(3))

@@ -32,14 +32,29 @@ def payment_success_view(df, database=None, keep=()):
     return cdc_view(paid, "payment_info", PAYMENT_CDC, database, "update", keep)
 
 
+def config_images(envelopes):
+    """The source table of each envelope, its image ``after`` the change, and its order."""
+    source = F.coalesce("after.source_table", "before.source_table").alias("source_table")
+    return envelopes.select(source, "after", "ts_ms", "seq")
+
+
+def newest_images(images):
+    """The last image per source table, deletes included."""
+    last = images.groupBy("source_table").agg(
+        F.max_by(F.struct("after", "ts_ms", "seq"), F.struct("ts_ms", "seq")).alias("_last"))
+    return last.select("source_table", "_last.*")
+
+
+def in_force(images):
+    return images.where(F.col("after").isNotNull()).select("after.*")
+
+
 def latest_config(envelopes):
     """Routing rows in force: the last image per source table, deletes removed.
 
     ``envelopes`` has ``op``, ``ts_ms``, and ``before``/``after`` images.
     """
-    source = F.coalesce("after.source_table", "before.source_table").alias("source_table")
-    last = envelopes.groupBy(source).agg(F.max_by("after", F.struct("ts_ms", "seq")).alias("_after"))
-    return last.where(F.col("_after").isNotNull()).select("_after.*")
+    return in_force(newest_images(config_images(envelopes)))
 
 
 def keep_columns(data, sink_columns):

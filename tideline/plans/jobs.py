@@ -7,6 +7,7 @@ returns it.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
@@ -19,12 +20,13 @@ from tideline.plans import traffic, trade
 from tideline.plans.dimensions import route_batch
 from tideline.sinks.dimension import read_dimension
 from tideline.sinks.files import path_exists
+from tideline.sinks.routes import refresh_routes
 from tideline.sinks.summary import write_summary
 from tideline.sinks.topics import write_text_topic
 from tideline.sinks.upsert import create_upsert, stream_upserts, upsert_topic
 from tideline.sources.tables import read_lookup_table
-from tideline.sources.topics import read_changelog, read_config_stream, read_text_stream
-from tideline.streaming.run import start_query
+from tideline.sources.topics import read_changelog, read_config_changes, read_text_stream
+from tideline.streaming.run import kept, start_query
 
 
 @dataclass
@@ -102,14 +104,19 @@ class Warehouse:
     def upserts(self, topic, columns):
         return stream_upserts(self.spark, f"{self.root}/tables/{topic}", self.shape(columns))
 
-    def dictionary(self):
+    def dictionary(self, keys=None):
+        wanted = {"keys": keys, "by": "dic_code"}
         if self.lookup_jdbc is not None:
-            return read_lookup_table(self.spark, "base_dic", "jdbc", options=self.lookup_jdbc)
-        return read_lookup_table(self.spark, "base_dic", root=f"{self.root}/lookup")
+            return read_lookup_table(self.spark, "base_dic", "jdbc", options=self.lookup_jdbc, **wanted)
+        return read_lookup_table(self.spark, "base_dic", root=f"{self.root}/lookup", **wanted)
 
-    def dimension(self, name, columns):
-        """Current rows of ``dim_<name>``."""
-        return read_dimension(self.spark, f"{self.root}/dims", f"dim_{name}", schemas.dimension_schema(columns))
+    def dimension(self, name, columns, keys=None):
+        """Current rows of ``dim_<name>``, or of its ``keys``."""
+        return read_dimension(self.spark, f"{self.root}/dims", f"dim_{name}", schemas.dimension_schema(columns), keys)
+
+    def lookup(self, name, columns):
+        """``dim_<name>`` as a function of the wanted keys."""
+        return partial(self.dimension, name, columns)
 
 
 def run_job(job, w, **options):
@@ -135,7 +142,10 @@ def run_job(job, w, **options):
 
 def dim_job(w):
     def each_batch(batch, batch_id):
-        config = read_config_stream(batch.sparkSession, fmt=w.fmt, root=w.topics, options=w.options)
+        # The routes are brought up to date first, so one is known before the rows it applies to.
+        envelopes = read_config_changes(w.spark, fmt=w.fmt, root=w.topics,
+                                        options={**w.options, "startingOffsets": "earliest"})
+        config = refresh_routes(envelopes, f"{w.root}/dims", f"{w.checkpoints}/routes")
         route_batch(batch.sparkSession, batch, config, f"{w.root}/dims", batch_id, (schemas.SEQ,), w.compact_every)
 
     return start_query(w.changes(), f"{w.checkpoints}/dim", each_batch=each_batch, trigger=w.trigger)
@@ -173,7 +183,7 @@ def login_job(w):
 
 def order_detail_job(w, seconds=5):
     def enrich(batch):
-        named = trade.name_source_type(batch, w.dictionary(), (schemas.VERSION,))
+        named = trade.name_source_type(batch, w.dictionary, (schemas.VERSION,))
         return named.withColumn(schemas.ROW_TIME, processing_time())
 
     joined = trade.joined_changes(w.changes(), seconds, database=w.database, keep=(schemas.SEQ,))
@@ -184,7 +194,7 @@ def pay_detail_job(w, seconds=905):
     details = w.upserts(schemas.TOPIC_ORDER_DETAIL, schemas.ORDER_DETAIL_COLUMNS)
     joined = trade.joined_payments(w.changes(), details, seconds, database=w.database, keep=(schemas.SEQ,))
     return w.upsert(joined, schemas.TOPIC_PAY_DETAIL, "order_detail_id",
-                    lambda batch: trade.name_payment_type(batch, w.dictionary()))
+                    lambda batch: trade.name_payment_type(batch, w.dictionary))
 
 
 def payer_job(w):
@@ -196,7 +206,7 @@ def province_job(w):
     details = w.upserts(schemas.TOPIC_ORDER_DETAIL, schemas.ORDER_DETAIL_COLUMNS)
 
     def enrich(batch):
-        return trade.name_provinces(batch, w.dimension("base_province", "id,name"))
+        return trade.name_provinces(batch, w.lookup("base_province", "id,name"))
 
     return w.summarise(with_bounds(trade.province_totals(details, (schemas.VERSION,))), schemas.PROVINCE_SUMMARY,
                        "trade_province_order_window", enrich)
@@ -221,12 +231,12 @@ def user_spu_job(w):
                      "spu_id", "trademark_id", "category3_id"))
 
     def log_sku(batch, batch_id):
-        sku = w.dimension("sku_info", SPU_DIMENSIONS["sku_info"])
-        trade.attach_sku(batch, sku).select(*shape.names).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}")
+        with kept(batch) as rows:
+            named = trade.attach_sku(rows, w.lookup("sku_info", SPU_DIMENSIONS["sku_info"]))
+            named.select(*shape.names).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     def enrich(batch):
-        return trade.name_user_spu(batch, {n: w.dimension(n, c) for n, c in SPU_DIMENSIONS.items()})
+        return trade.name_user_spu(batch, {n: w.lookup(n, c) for n, c in SPU_DIMENSIONS.items()})
 
     w.spark.createDataFrame([], shape).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
     logged = start_query(details, f"{w.checkpoints}/order_detail_sku", each_batch=log_sku, trigger=w.trigger)

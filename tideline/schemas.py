@@ -97,6 +97,14 @@ PAY_DETAIL = text_struct(*PAY_DETAIL_COLUMNS, ROW_TIME)
 
 TABLE_PROCESS = text_struct("source_table", "sink_table", "sink_columns", "sink_pk", "sink_extend")
 
+# The last change of a source table's routing row; ``after`` is null where it was deleted.
+ROUTE_IMAGE = T.StructType([
+    T.StructField("source_table", T.StringType()),
+    T.StructField("after", TABLE_PROCESS),
+    T.StructField("ts_ms", T.LongType()),
+    T.StructField("seq", T.LongType()),
+])
+
 BASE_DIC = T.StructType([
     T.StructField("dic_code", T.StringType()),
     T.StructField("dic_name", T.StringType()),

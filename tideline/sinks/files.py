@@ -13,6 +13,26 @@ def path_exists(spark, path):
     return fs.exists(hadoop_path)
 
 
+def newest(spark, path, key, below=None):
+    """The largest number of a finished folder ``key=N`` in ``path``, or None: one listing, then one call
+    for each unfinished folder in front of it and one for itself.
+    """
+    if not path_exists(spark, path):
+        return None
+    fs, hadoop_path = _located(spark, path)
+    names = [entry.getPath().getName() for entry in fs.listStatus(hadoop_path)]
+    found = sorted((int(name[len(key) + 1:]) for name in names if name.startswith(f"{key}=")), reverse=True)
+    return next((n for n in found if (below is None or n < below)
+                 and path_exists(spark, f"{path}/{key}={n}/_SUCCESS")), None)
+
+
+def newest_part(spark, path, key):
+    """The largest number of the partition folders ``key=N`` in ``path``, or None."""
+    fs, hadoop_path = _located(spark, path)
+    names = [entry.getPath().getName() for entry in fs.listStatus(hadoop_path)]
+    return max((int(name[len(key) + 1:]) for name in names if name.startswith(f"{key}=")), default=None)
+
+
 def numbered(spark, path, key, above=None, upto=None):
     """The numbers of the finished folders ``key=N`` in ``path``, sorted; lists one level only.
 

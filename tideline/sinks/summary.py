@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.streaming.run import start_query
+from tideline.streaming.run import kept, start_query
 
 
 def drop_transient(df, schema=None):
@@ -30,7 +30,14 @@ def write_summary(df, schema, path=None, jdbc=None, checkpoint=None, trigger=Non
     a retried batch twice, as a plain insert does.
     """
     def each_batch(batch, batch_id):
-        rows = sink_columns(enrich(batch) if enrich else batch, schema)
+        if enrich:
+            with kept(batch) as rows:
+                write(enrich(rows), batch_id)
+        else:
+            write(batch, batch_id)
+
+    def write(rows, batch_id):
+        rows = sink_columns(rows, schema)
         if jdbc:
             rows.write.format("jdbc").options(**jdbc).mode("append").save()
         else:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tideline.operators.cdc import change_seq, latest_config
 from tideline.operators.parse import parse_json
-from tideline.schemas import CHANGE_ORDER, CHANGELOG, SEQ, TABLE_PROCESS
+from tideline.schemas import CHANGE_ORDER, CHANGELOG, SEQ, TABLE_PROCESS, TABLE_PROCESS_TOPIC
 
 
 def read_text_stream(spark, topic, fmt="kafka", root=None, streaming=True, options=None, position=False):
@@ -56,10 +56,15 @@ def parse_config(df):
     return latest_config(parse_json(df, CONFIG_ENVELOPE))
 
 
+def read_config_changes(spark, topic=TABLE_PROCESS_TOPIC, **kwargs):
+    """The change envelopes of the routing table as a stream."""
+    return parse_json(read_text_stream(spark, topic, **kwargs), CONFIG_ENVELOPE)
+
+
 def read_config_stream(spark, topic="table_process", **kwargs):
     """The routing table as it is now.
 
-    A batch read of snapshot and changes: called once per micro-batch, so a route is
-    known before the rows it applies to are looked at.
+    A batch read of the whole topic, for one look at it; jobs follow it with
+    ``refresh_routes``.
     """
     return parse_config(read_text_stream(spark, topic, streaming=False, **kwargs))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
 
@@ -22,6 +23,16 @@ def start_query(df, checkpoint, each_batch=None, fmt=None, path=None, options=No
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
+@contextmanager
+def kept(batch):
+    """A micro-batch stored while several jobs read it, so that it is computed once."""
+    rows = batch.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def run_with_restarts(start, restarts=3, wait_seconds=5.0):
     """Run the query that ``start()`` begins to its end, restarting it after a failure.
 
