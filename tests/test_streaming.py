@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import time
 
 import pytest
@@ -57,6 +58,31 @@ def test_bounces_over_batches_with_a_late_row(streams, folder):
     assert feed.run(found()) == [("a", 0), ("b", 0), ("d", 500_500), ("d", 501_000)]
 
 
+def test_bounces_against_brute_force_over_batches(streams, folder):
+    feed = Feed(streams, folder, "mid string, ts bigint, last string, arrival bigint, more map<string,string>")
+    draw = random.Random(4)
+    base, rows = 60_000_000, []
+    for arrival in range(600):
+        last = draw.choice([None, "home"])
+        rows.append((draw.choice("aab"), base + arrival * 900 + draw.randrange(0, 1_800, 300), last, arrival, {"k": "v"}))
+    want = []
+    for mid in "ab":
+        mine = sorted((r for r in rows if r[0] == mid), key=lambda r: (r[1], r[3]))
+        for row, after in zip(mine, [*mine[1:], None]):
+            if row[2] is None and (after is None or after[2] is None or after[1] - row[1] >= 10_000):
+                want.append((mid, row[1], row[3]))
+    found = lambda: bounces(feed.stream(), "mid", "ts", "last", "arrival").select("mid", "ts", "arrival")
+    for part in range(0, 600, 150):
+        feed.add(rows[part:part + 150])
+        feed.run(found())
+    feed.add([("z", base + 10_000_000, "home", 0, None), (None, None, None, 0, None)])
+    assert feed.run(found()) == sorted(want, key=str)
+    query = found().writeStream.format("noop").option("checkpointLocation", f"{folder}/noop").trigger(**ONCE).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "ObjectHashAggregate" in plan and "Python" not in plan
+
+
 DAYS = "uid string, day string, ts bigint, arrival bigint"
 DAY_MS = 86_400_000
 

@@ -34,10 +34,13 @@ def sliced(df, key, ts, last_page, arrival, within_ms, slices):
 
 def bounces(df, key="common.mid", ts="ts", last_page="page.last_page_id", arrival=None,
             within_ms=10_000, slices=6, delay="2 seconds"):
-    """The bounced start rows of ``df``, each once, with its own columns."""
-    rows = sliced(df, key, ts, last_page, arrival, within_ms, slices)
+    """The bounced start rows of ``df``, each once, with its own columns.
+
+    On a stream slices are one ``within_ms`` long, and ``delay`` is the watermark's.
+    """
     if df.isStreaming:
-        return bounces_stream(rows, df.schema, within_ms, delay)
+        return bounces_stream(df, key, ts, last_page, arrival, within_ms, delay)
+    rows = sliced(df, key, ts, last_page, arrival, within_ms, slices)
     order = Window.partitionBy("_key", "_slice").orderBy("_ms", "_arrival")
     rows = rows.withColumn("_next", F.lead(F.struct("_ms", "_start")).over(order))
     bounced = (F.col("_next").isNull() | F.col("_next._start")

@@ -3,68 +3,42 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
 
 
-class BounceBuffer(StatefulProcessor):
-    """Holds the rows of a key's slice until the watermark has decided each start.
+def bounces_stream(df, key, ts, last_page, arrival, within_ms, delay):
+    """The bounced start rows, out of built-in aggregates.
 
-    One timer is outstanding: that of the earliest undecided start. When it fires all
-    starts the watermark has passed by ``within_ms`` are decided at once, which covers
-    both the matched and the timed-out starts, and rows no start can need any more go.
+    A key's rows go into windows twice ``within_ms`` long that begin every ``within_ms``, so
+    each start has all rows that can decide it in the window that it is in the first half
+    of. A window's rows are decided together when the watermark passes its end: matched and
+    timed-out starts alike, and at most ``within_ms`` apart, so that watermarks behind this
+    query need not reach further back. Of rows that only decide others no more is kept than
+    their order. A row without time decides nothing and is no bounce.
     """
-
-    def __init__(self, row_schema, within_ms):
-        self.row_schema, self.within_ms = row_schema, within_ms
-
-    def init(self, handle):
-        self.handle = handle
-        self.rows = handle.getListState("rows", T.StructType([
-            T.StructField("_ms", T.LongType()),
-            T.StructField("_arrival", T.LongType()),
-            T.StructField("_start", T.BooleanType()),
-            T.StructField("_row", self.row_schema),
-        ]))
-        self.due = handle.getValueState("due", T.StructType([T.StructField("due", T.LongType())]))
-
-    def _schedule(self, due):
-        if self.due.exists():
-            known = self.due.get()[0]
-            if known <= due:
-                return
-            self.handle.deleteTimer(known)
-        self.handle.registerTimer(due)
-        self.due.update((due,))
-
-    def handleInputRows(self, key, rows, timerValues):
-        added = [(r["_ms"], r["_arrival"], r["_start"], r["_row"]) for r in rows]
-        self.rows.appendList(added)
-        self._schedule(min(r[0] for r in added) + self.within_ms)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.due.clear()
-        decided = timerValues.getCurrentWatermarkInMs() - self.within_ms
-        rows = sorted((tuple(r) for r in self.rows.get()), key=lambda r: r[:2])
-        pending = [r for r in rows if r[0] > decided]
-        if pending:
-            self.rows.put(pending)
-            self._schedule(pending[0][0] + self.within_ms)
-        else:
-            self.rows.clear()
-        for row, follower in zip(rows, [*rows[1:], None]):
-            if row[0] > decided:
-                break
-            bounced = follower is None or follower[2] or follower[0] - row[0] >= self.within_ms
-            if row[3] is not None and bounced:
-                yield row[3]
-
-    def close(self):
-        pass
-
-
-def bounces_stream(rows, schema, within_ms, delay):
-    timed = rows.withColumn("_time", F.timestamp_millis("_ms")).withWatermark("_time", delay)
-    return timed.groupBy("_key", "_slice").transformWithState(
-        BounceBuffer(schema, within_ms), schema, "append", "EventTime")
+    rows = df.select(
+        F.col(key).alias("_key"),
+        F.col(ts).alias("_ms"),
+        (F.col(arrival) if arrival else F.lit(0)).cast("bigint").alias("_arrival"),
+        F.col(last_page).isNull().alias("_start"),
+        F.struct(*df.columns).alias("_full"),
+        F.timestamp_millis(ts).alias("_time"),
+    ).withWatermark("_time", delay)
+    window = F.window("_time", f"{2 * within_ms} milliseconds", f"{within_ms} milliseconds").alias("_window")
+    rows = rows.select("_key", "_ms", "_arrival", "_start", "_full", window)
+    own = F.col("_ms") - F.unix_millis("_window.start") < within_ms
+    mine = F.when(F.col("_start") & own, F.col("_full")).alias("_row")
+    held = rows.groupBy("_key", "_window").agg(
+        F.collect_list(F.struct("_ms", "_arrival", "_start", mine)).alias("_rows"))
+
+    # The rows themselves may hold what has no order, so their places are sorted.
+    places = F.transform("_rows", lambda r, n: F.struct(
+        r["_ms"].alias("ms"), r["_arrival"].alias("arrival"), n.alias("place"), r["_start"].alias("start")))
+
+    def bounced(row, n):
+        after = F.get("_sorted", n + 1)
+        alone = after.isNull() | after["start"] | (after["ms"] - row["ms"] >= within_ms)
+        return F.when(alone, F.get("_rows", row["place"])["_row"])
+
+    decided = held.withColumn("_sorted", F.array_sort(places)).select(
+        F.explode(F.filter(F.transform("_sorted", bounced), lambda r: r.isNotNull())).alias("_row"))
+    return decided.select("_row.*")
