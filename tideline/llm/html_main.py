@@ -346,8 +346,9 @@ def main_text(pages, html="html", url="url", share=0.2):
     gives no rows. Columns of ``pages`` named like an added column are replaced.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
-    votes = pages.select(
-        host.alias("__host"), F.arrow_udf(_vote, "struct<path: string, score: double>")(F.col(f"`{html}`")).alias("v")).select("__host", "v.path", "v.score")
+    # Marked so that the filter on the score is not moved below it, where it would parse every page once more.
+    vote = F.arrow_udf(_vote, "struct<path: string, score: double>").asNondeterministic()
+    votes = pages.select(host.alias("__host"), vote(F.col(f"`{html}`")).alias("v")).select("__host", "v.path", "v.score")
     winners = checkpointed(host_paths(votes, share).withColumnRenamed("__host", "__of"))
     if winners.count() <= BROADCAST_HOSTS:
         winners = F.broadcast(winners)
