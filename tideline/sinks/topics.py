@@ -13,7 +13,8 @@ def write_text_topic(df, topic, fmt="kafka", root=None, checkpoint=None, exactly
     """Write the ``value`` column as records of a topic; null becomes the empty text.
 
     A stream returns its running query. With ``exactly_once`` each micro-batch owns a
-    folder that a retry overwrites; a Kafka topic cannot promise that.
+    folder that a retry overwrites; a Kafka topic cannot promise that. Text files are
+    compressed unless ``options`` name a ``compression``, as the broker does for a topic.
     """
     text = df.select(F.coalesce("value", F.lit("")).alias("value"))
     if exactly_once and fmt == "kafka":
@@ -21,6 +22,8 @@ def write_text_topic(df, topic, fmt="kafka", root=None, checkpoint=None, exactly
     target = dict(options or {})
     if fmt == "kafka":
         target["topic"] = topic
+    elif fmt == "text":
+        target.setdefault("compression", "gzip")
     path = None if fmt == "kafka" else f"{root}/{topic}"
     if not df.isStreaming:
         writer = text.write.format(fmt).options(**target).mode("append")
