@@ -209,3 +209,23 @@ def test_dimension_schema_defaults():
 
 def test_topic_names_agree():
     assert schemas.TOPIC_USER_JUMP == "dwd_traffic_user_jump" and schemas.TOPIC_PAGE_VIEW == "dwd_traffic_page_view"
+
+
+def test_both_left_joins_of_order_details_use_one_exchange(spark):
+    from tideline.plans.trade import join_order_detail
+    side = "SELECT '1' AS id, '1' AS order_id, '1' AS order_detail_id, 'u' AS user_id, 'p' AS province_id, 'x' AS activity_id, " \
+           "'y' AS activity_rule_id, 'z' AS coupon_id, timestamp_seconds(5) AS event_time"
+    one = spark.sql(side).union(spark.sql(side).where("id = '2'"))
+    sides = [one.select(*c, "event_time") for c in (
+        ("id", "order_id"), ("id", "user_id", "province_id"), ("order_detail_id", "activity_id", "activity_rule_id"),
+        ("order_detail_id", "coupon_id"))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_order_detail(*sides)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        # Two for the orders, one for the details by id, one each for activities and coupons.
+        assert plan.count("Exchange hashpartitioning") == 5
+        assert "_slot" not in joined.columns
+        assert [tuple(r)[:4] for r in joined.select("id", "user_id", "activity_id", "coupon_id").collect()] == [("1", "u", "x", "z")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

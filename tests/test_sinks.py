@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import os
 from pathlib import Path
 
@@ -212,3 +213,26 @@ def test_numbered_asks_only_about_wanted_folders(spark, folder, monkeypatch):
     assert len(asked) == 4
     assert files.numbered(spark, folder, "batch_id", above=3, upto=5) == [4, 5]
     assert len(files.numbered(spark, folder, "batch_id")) == 11
+
+
+def test_text_topics_are_compressed(spark, folder):
+    df = spark.createDataFrame([("x" * 10_000,), (None,), ("é",)], "value string")
+    topics.write_text_topic(df.coalesce(1), "t", fmt="text", root=folder)
+    (file,) = glob.glob(f"{folder}/t/part-*")
+    assert os.path.getsize(file) < 1_000
+    assert sorted(r[0] for r in read_text_stream(spark, "t", "text", folder, streaming=False).collect()) == [
+        "", "x" * 10_000, "é"]
+
+
+def test_a_table_of_one_batch_is_read_as_it_is(spark, folder):
+    """A batch holds a key once, so its rows are not dealt out again; two batches are."""
+    def plan():
+        return upsert.read_upsert(spark, folder, ("id",))._jdf.queryExecution().executedPlan().toString()
+    df = spark.createDataFrame([("a", 1, False), ("a", 2, False), ("b", 1, True), (None, 1, False)], "id string, n int, gone boolean")
+    upsert.upsert_batch(df, folder, ("id",), ("n",), 0, F.col("gone"))
+    rows = lambda: sorted(((r.id, r.n) for r in upsert.read_upsert(spark, folder, ("id",)).collect()), key=str)
+    assert "Exchange" not in plan()
+    assert rows() == [("a", 2), (None, 1)]
+    upsert.upsert_batch(df.where("id = 'a'").withColumn("n", F.lit(0)), folder, ("id",), ("n",), 1)
+    assert "Exchange" in plan()
+    assert rows() == [("a", 0), (None, 1)]
