@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import glob
+import json
 import random
 import time
 
@@ -15,7 +17,9 @@ from tideline.operators.windows import window_sum_all, with_bounds, with_event_t
 from tideline.plans.left_join import left_join_batch
 from tideline.plans.traffic import visit_summary
 from tideline.sinks.upsert import read_upsert
+from tideline.streaming import gap
 from tideline.streaming.run import run_with_restarts, start_query
+from tideline.workload.streams import replay, to_table
 
 ONCE = {"availableNow": True}
 
@@ -231,3 +235,53 @@ def test_restart_resumes_and_gives_up(streams, folder):
     tries.clear()
     with pytest.raises(StreamingQueryException):
         run_with_restarts(start, restarts=1, wait_seconds=0.1)
+
+
+def test_keys_of_a_bucket_share_one_state_call():
+    """Thousands of keys cost one read and one write of state, and live ones do not pass again."""
+    class Live:
+        value, calls = None, 0
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value, self.calls = value, self.calls + 1
+
+    class Clock:
+        now = 1_000
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    import pyarrow as pa
+    processor, clock = gap.FirstAfterSilence(["id"], ["n"], 500), Clock()
+    processor.live = Live()
+
+    def passed(ids, now):
+        clock.now = now
+        rows = pa.table({"id": pa.array([*ids, *ids], pa.string()), "n": [2] * len(ids) + [1] * len(ids)})
+        out = list(processor.handleInputRows((0,), iter([{"rows": gap._bytes(rows)}]), clock))
+        return sorted((r for row in out for r in gap._table(row["rows"]).to_pylist()), key=str)
+
+    ids = [f"k{i}" for i in range(5_000)] + [None]
+    assert passed(ids, 1_000) == sorted(({"id": i, "n": 1} for i in ids), key=str)
+    assert processor.live.calls == 1
+    assert passed([None, "k1", "new"], 1_400) == [{"id": "new", "n": 1}]
+    assert passed(["k2", "k1", None], 1_500) == [{"id": "k2", "n": 1}]      # k1 and null were renewed
+
+
+def test_replay_arrives_in_slices_of_event_time(spark, streams, folder):
+    rows = spark.range(400).selectExpr("timestamp_seconds(id * 37 % 400) AS t", "id AS n").withColumn("n", F.col("n") % 7)
+    late = spark.sql("SELECT timestamp_seconds(9000) AS t, 0L AS n")
+    feed = replay(streams, rows, f"{folder}/in", late, F.col("t"), slices=4)
+    out = to_table(spark, with_bounds(window_sum_all(with_event_time(feed, "t"), ("n",)), stamp=False), folder,
+                   feeds=[f"{folder}/in"])
+    want = with_bounds(window_sum_all(with_event_time(rows, "t"), ("n",)), stamp=False)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    steps = [json.loads(line) for file in sorted(glob.glob(f"{folder}/checkpoint/sources/0/[0-9]*"))
+             for line in open(file) if line.startswith("{")]
+    assert len({step["batchId"] for step in steps}) == 4

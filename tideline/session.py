@@ -42,17 +42,21 @@ def tune(spark):
 STATE_PARTITIONS = 8
 
 
-def stream_session(spark, state_partitions=STATE_PARTITIONS):
+def stream_session(spark, state_partitions=None):
     """A sibling session set up for stateful queries.
 
     The first checkpoint of a query fixes its number of state partitions for good, so
     the number is an explicit setting of the deployment: give it the cores of the full
-    cluster. The default suits one machine.
+    cluster. The default is the cores at hand, and ``STATE_PARTITIONS`` at least.
     """
+    if state_partitions is None:
+        state_partitions = max(STATE_PARTITIONS, spark.sparkContext.defaultParallelism)
     session = tune(spark.newSession())
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # A checkpoint then stores what changed and not the whole state.
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # A restart needs the last batch; state of older ones is only disk.
+    session.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
     session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return session
 

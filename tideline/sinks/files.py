@@ -13,6 +13,28 @@ def path_exists(spark, path):
     return fs.exists(hadoop_path)
 
 
+def make_folder(spark, path):
+    fs, hadoop_path = _located(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def publish_parts(spark, waiting, folder, together):
+    """Move the next ``together`` parts of a written folder to another; False if none is left.
+
+    A part keeps its number, and numbers without a file count too.
+    """
+    fs, waiting_path = _located(spark, waiting)
+    if not fs.exists(waiting_path):
+        return False
+    names = [entry.getPath().getName() for entry in fs.listStatus(waiting_path)]
+    groups = {name: int(name.split("-")[1]) // together for name in names if name.startswith("part-")}
+    for name, group in groups.items():
+        if group == min(groups.values()):
+            if not fs.rename(_located(spark, f"{waiting}/{name}")[1], _located(spark, f"{folder}/{name}")[1]):
+                raise OSError(f"{waiting}/{name} cannot be moved to {folder}")
+    return bool(groups)
+
+
 def newest(spark, path, key, below=None):
     """The largest number of a finished folder ``key=N`` in ``path``, or None: one listing, then one call
     for each unfinished folder in front of it and one for itself.

@@ -1,7 +1,8 @@
 """Streaming twins of the registered queries: the same rows replayed as a stream.
 
 Inputs derived by Spark are written to the work folder and read back as file streams.
-A closing row, later than all others and matching nothing, moves the watermark past
+Large ones arrive in the order of their event time, a slice at a time, so that state holds
+what the watermark asks for and not the whole input. A closing row, later than all others and matching nothing, moves the watermark past
 them; it never shows in a result. Each query ends when its input is used up.
 """
 
@@ -9,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.functions.time import DATE_TIME, row_time
+from tideline.functions.scalars import map_get
+from tideline.functions.time import DATE_TIME, row_time, text_to_timestamp
 from tideline.operators import dedup
 from tideline.operators.bounce import bounces
 from tideline.operators.lookup import lookup_chain
@@ -20,6 +22,7 @@ from tideline.schemas import (
     ORDER_DETAIL_COLUMNS, PAY_DETAIL_COLUMNS, PAYMENT_SUCCESS, TABLE_PROCESS_TOPIC, TOPIC_DB, dimension_schema)
 from tideline.session import stream_session, work_dir
 from tideline.sinks.dimension import read_dimension
+from tideline.sinks.files import make_folder, publish_parts
 from tideline.sinks.topics import write_json_topic
 from tideline.sinks.upsert import read_upsert
 from tideline.streaming.run import run_with_restarts, start_query
@@ -31,17 +34,42 @@ LATER_MS = 90 * 86_400_000
 ONCE = {"availableNow": True}
 
 
-def replay(session, df, folder, closing=None):
-    """Write ``df``, and the closing row, and read them as a stream."""
+# Lines of orders that arrive at once, and the files they come in.
+SLICE_LINES = 4_000_000
+SLICE_FILES = 8
+
+
+def slices_of(spark, sf):
+    """The number of slices that the rows derived from the lines of orders arrive in."""
+    return max(1, -(-inputs.table(spark, sf, "lineitem").count() // SLICE_LINES))
+
+
+def replay(session, df, folder, closing=None, time=None, slices=1):
+    """Write ``df``, and the closing row, and read them as a stream.
+
+    With several ``slices`` the rows are dealt by ranges of their event ``time``. The first
+    slice is there at once, ``to_table`` lets the others follow.
+    """
     rows = df if closing is None else df.unionByName(closing)
-    rows.write.parquet(folder)
+    if slices > 1:
+        rows.repartitionByRange(slices * SLICE_FILES, time).write.parquet(f"{folder}-waiting")
+        make_folder(session, folder)
+        publish_parts(session, f"{folder}-waiting", folder, SLICE_FILES)
+    else:
+        rows.write.parquet(folder)
     return session.readStream.schema(rows.schema).parquet(folder)
 
 
-def to_table(spark, df, folder, trigger=None):
-    """Run a streaming query to the end of its input and read what it wrote."""
-    run_with_restarts(lambda: start_query(
-        df, f"{folder}/checkpoint", fmt="parquet", path=f"{folder}/out", trigger=trigger or ONCE))
+def to_table(spark, df, folder, trigger=None, feeds=()):
+    """Run a streaming query to the end of its input and read what it wrote.
+
+    It goes on from its checkpoint each time the next slices of its ``feeds`` have arrived.
+    """
+    arrived = True
+    while arrived:
+        run_with_restarts(lambda: start_query(
+            df, f"{folder}/checkpoint", fmt="parquet", path=f"{folder}/out", trigger=trigger or ONCE))
+        arrived = any([publish_parts(spark, f"{feed}-waiting", feed, SLICE_FILES) for feed in feeds])
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
@@ -79,7 +107,7 @@ def _closing_time(df, column):
 def detail_stream(spark, session, sf, folder):
     details = inputs.order_detail(spark, sf)
     closing = _shaped(_closing_time(details, "create_time").withColumn("id", F.lit(END)), details.schema)
-    return replay(session, details, folder, closing)
+    return replay(session, details, folder, closing, text_to_timestamp("create_time"), slices_of(spark, sf))
 
 
 def change_stream(spark, session, sf, folder, tables):
@@ -97,7 +125,8 @@ def change_stream(spark, session, sf, folder, tables):
         row = _shaped(later.select(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                                    F.lit(kind).alias("type"), data.alias("data")), changes.schema)
         closing = row if closing is None else closing.unionByName(row)
-    return replay(session, changes, folder, closing)
+    time = F.coalesce(*(text_to_timestamp(map_get("data", c)) for c in ("create_time", "callback_time")))
+    return replay(session, changes, folder, closing, time, slices_of(spark, sf))
 
 
 ORDER_TABLES = tuple((name, "insert") for name in (
@@ -157,7 +186,8 @@ def stream_login_returning_gap3_10s(spark, sf):
 def stream_order_detail_wide(spark, sf):
     session, folder = stream_session(spark), work_dir(spark, "stream")
     changes = change_stream(spark, session, sf, f"{folder}/in", ORDER_TABLES)
-    joined = to_table(spark, trade.joined_changes(changes, database="shop").drop("event_time"), folder)
+    joined = to_table(spark, trade.joined_changes(changes, database="shop").drop("event_time"), folder,
+                      feeds=[f"{folder}/in"])
     return trade.name_source_type(joined, inputs.base_dic(spark, sf))
 
 
@@ -166,7 +196,8 @@ def stream_pay_detail_success(spark, sf):
     changes = change_stream(spark, session, sf, f"{folder}/in", (("payment_info", "update"),))
     details = detail_stream(spark, session, sf, f"{folder}/details")
     joined = trade.joined_payments(changes, details).drop("event_time", "od_event_time")
-    named = trade.name_payment_type(to_table(spark, joined, folder), inputs.base_dic(spark, sf))
+    paid = to_table(spark, joined, folder, feeds=[f"{folder}/in", f"{folder}/details"])
+    named = trade.name_payment_type(paid, inputs.base_dic(spark, sf))
     return named.select(*PAY_DETAIL_COLUMNS, "row_op_ts")
 
 
@@ -176,16 +207,18 @@ def stream_latest_per_detail(spark, sf):
     details = detail_stream(spark, session, sf, f"{folder}/in")
     timed = with_event_time(details.withColumn("version", row_time("row_op_ts")), "create_time")
     last = dedup.latest_per_key_windowed(timed, ("id",), ("version", *TIE)).drop("event_time")
-    return to_table(spark, last, folder).select(*ORDER_DETAIL_COLUMNS, "row_op_ts")
+    return to_table(spark, last, folder, feeds=[f"{folder}/in"]).select(*ORDER_DETAIL_COLUMNS, "row_op_ts")
 
 
 def stream_first_per_detail(spark, sf):
     """First version per detail, let through by keyed state that silence clears.
 
     State that ends by wall clock asks for one more batch for ever, so this runs as a
-    single batch.
+    single batch; the state partitions grow with it.
     """
     session, folder = stream_session(spark), work_dir(spark, "stream")
+    parts = max(int(session.conf.get("spark.sql.shuffle.partitions")), slices_of(spark, sf) * SLICE_FILES)
+    session.conf.set("spark.sql.shuffle.partitions", str(parts))
     details = replay(session, inputs.order_detail(spark, sf), f"{folder}/in")
     first = dedup.first_per_key_ttl(details.withColumn("version", row_time("row_op_ts")), ("id",),
                                     ("version", *TIE))
@@ -195,7 +228,8 @@ def stream_first_per_detail(spark, sf):
 def stream_province_orders_30d(spark, sf):
     session, folder = stream_session(spark), work_dir(spark, "stream")
     details = detail_stream(spark, session, sf, f"{folder}/in")
-    totals = to_table(spark, with_bounds(trade.province_totals(details, TIE, batch.MONTH), stamp=False), folder)
+    totals = to_table(spark, with_bounds(trade.province_totals(details, TIE, batch.MONTH), stamp=False), folder,
+                      feeds=[f"{folder}/in"])
     return trade.name_provinces(totals, inputs.provinces(spark, sf))
 
 
@@ -204,7 +238,8 @@ def stream_user_spu_orders_30d(spark, sf):
     details = detail_stream(spark, session, sf, f"{folder}/in")
     dims = inputs.spu_dims(spark, sf)
     rows = trade.user_spu_rows(details, dims["sku_info"].where(F.col("id").isNotNull()), ("row_op_ts", *TIE))
-    totals = to_table(spark, with_bounds(trade.user_spu_totals(rows, batch.MONTH), stamp=False), folder)
+    totals = to_table(spark, with_bounds(trade.user_spu_totals(rows, batch.MONTH), stamp=False), folder,
+                      feeds=[f"{folder}/in"])
     return trade.name_user_spu(totals, dims)
 
 
@@ -222,7 +257,7 @@ def stream_window_sums(spark, sf):
     details = detail_stream(spark, session, sf, f"{folder}/in")
     rows = with_event_time(details, "create_time").withColumn("qty", F.col("sku_num").cast("bigint"))
     sums = with_bounds(window_sum_by(rows, ("province_id",), ("qty",), size=batch.MONTH), stamp=False)
-    return to_table(spark, sums, folder)
+    return to_table(spark, sums, folder, feeds=[f"{folder}/in"])
 
 
 # --- upserts --------------------------------------------------------------------------
