@@ -45,3 +45,22 @@ def test_phrases_of_nothing(spark):
     assert phrases.top_phrases(docs).count() == 0
     docs = spark.createDataFrame([(None, None), ("", "en")], "text string, lang string")
     assert phrases.top_phrases(docs).count() == 0
+
+
+def test_windows_are_made_once_and_dealt_by_ranges(spark, monkeypatch):
+    """The ranges' borders come from a share of the documents, and the counts do not depend on it."""
+    draw = random.Random(5)
+    rows = [(" ".join(draw.choice(["the", "new", "city", "of", "x\x01y", "B\x0eb"]) for _ in range(30)),
+             draw.choice(["en", "a\tb", None])) for _ in range(400)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    seen = []
+    dealt = phrases._dealt
+    monkeypatch.setattr(phrases, "_dealt", lambda *a: seen.append(dealt(*a)) or seen[-1])
+    monkeypatch.setattr(phrases, "SHARE", 0.3)
+    got = phrases.mine(docs, least=20).collect()
+    assert {tuple(r) for r in got} == _plain(rows, 20, 5) and len(got) == len(set(got))
+    plan = seen[0]._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan and "RangePartitioning" not in plan
+    keys = seen[0].rdd.mapPartitions(lambda p: [[r["key"] for r in p]]).collect()
+    assert sum(map(bool, keys)) > 1
+    assert sum(keys, []) == sorted(k for part in keys for k in part)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +16,8 @@ BREAK = "\n"
 # Words that a task counts at once, and the bytes they may take.
 TOGETHER, BYTES = 1_500_000, 48_000_000
 ROWS = 50_000
+# Range borders come from this share of the documents, so many keys a task.
+SHARE, KEYS = 0.02, 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Keys are tab-joined. Characters up to the tab, and the line ends a group name may hold,
 # are written as two others, so that the tab sorts before all that a key holds.
@@ -63,12 +67,13 @@ def phrase_counts(docs, text="text", group="lang", longest=5, least=100, unknown
 
     The count of a group's bare name is the number of its words.
     """
-    lower = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), UPPER + "\t", LOWER + " ")
-    rows = docs.select(
-        F.coalesce(F.col(f"`{group}`").cast("string"), F.lit(unknown)).alias("group"),
-        F.split(F.concat(F.regexp_replace(lower, r"[.,;:!?\x0A-\x0D]", f" {BREAK} "), F.lit(f" {BREAK}")), " ").alias("words"))
-    windows = rows.mapInArrow(_windows(longest), "key string, a long")
-    sums = _by_range(windows).mapInArrow(_heads(longest, least), "key string, a long, open boolean")
+    def split(docs):
+        lower = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), UPPER + "\t", LOWER + " ")
+        return docs.select(
+            F.coalesce(F.col(f"`{group}`").cast("string"), F.lit(unknown)).alias("group"),
+            F.split(F.concat(F.regexp_replace(lower, r"[.,;:!?\x0A-\x0D]", f" {BREAK} "), F.lit(f" {BREAK}")), " ").alias("words"))
+
+    sums = _dealt(docs, split, longest).mapInArrow(_heads(longest, least), "key string, a long, open boolean")
     # Written once, read by both orders. Border phrases come in several parts.
     sums = written(sums, "phrases")
     whole = sums.filter(~F.col("open")).select("key", "a")
@@ -86,6 +91,64 @@ def _by_range(rows):
     return rows.repartitionByRange(parts, "key").sortWithinPartitions("key")
 
 
+def _dealt(docs, split, longest):
+    """The windows of all documents, dealt by ranges and sorted, as ``_by_range`` does.
+
+    That would make all windows twice, once to find the borders. Here a share of the documents
+    gives them; they decide how even the ranges are, and no more.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = split(docs.sample(SHARE, 7)).mapInArrow(_spaced(longest), "key string, weight long").collect()
+    if not some:
+        return _by_range(split(docs).mapInArrow(_windows(longest), "key string, a long"))
+    some = sorted((r["key"], r["weight"]) for r in some)
+    upto = np.cumsum([w for _, w in some])
+    at = np.searchsorted(upto, upto[-1] * np.arange(1, parts) / parts)
+    borders = sorted({some[i][0] for i in at})
+    windows = split(docs).mapInArrow(_placed(longest, borders), "part int, key string, a long")
+    return windows.repartitionById(parts, "part").select("key", "a").sortWithinPartitions("key")
+
+
+def _spaced(longest):
+    """Per task: evenly spaced keys of its windows, each with the number of rows it stands for."""
+    def task(batches):
+        for batch in _windows(longest)(batches):
+            keys = batch.column(0)
+            step = max(1, len(keys) // KEYS)
+            spaced = keys.take(pa.array(range(step // 2, len(keys), step)))
+            yield pa.RecordBatch.from_arrays([spaced, pa.array([step] * len(spaced), pa.int64())], names=["key", "weight"])
+
+    return task
+
+
+def _placed(longest, borders):
+    """Windows with the range they are in: a key equal to a border begins the next."""
+    def task(batches):
+        for batch in _windows(longest)(batches):
+            keys = batch.column(0)
+            first, last = (bisect_right(borders, keys[i].as_py()) for i in (0, len(keys) - 1))
+            part = np.full(len(keys), first, dtype=np.int32)
+            reader = _Keys(keys)
+            for border in borders[first:last]:
+                part[bisect_left(reader, border):] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(part), keys, batch.column(1)], names=["part", "key", "a"])
+
+    return task
+
+
+class _Keys:
+    """A sorted array of strings, for ``bisect``."""
+
+    def __init__(self, keys):
+        self.keys = keys
+
+    def __len__(self):
+        return len(self.keys)
+
+    def __getitem__(self, i):
+        return self.keys[i].as_py()
+
+
 def _turned(key):
     """A key with its words in reverse order; the group stays in front."""
     parts = F.split(key, "\t")
@@ -134,15 +197,11 @@ def _windows(longest):
 
 
 def _counted(groups, lengths, words, longest):
-    names = pa.concat_arrays(groups).dictionary_encode()
-    coded = pa.concat_arrays(words).dictionary_encode()
-    # Sorted, so that windows leave in the order of their keys and compress well.
-    order = pc.array_sort_indices(coded.dictionary)
-    sorted_words = coded.dictionary.take(order)
-    place = np.empty(len(order), dtype=np.int64)
-    place[order.to_numpy()] = np.arange(len(order))
-    word = place[coded.indices.to_numpy()] + 1
-    group = np.repeat(names.indices.to_numpy().astype(np.int64), np.concatenate(lengths))
+    # Sorted as keys are, so that windows leave in the order of their keys.
+    names, _, named = _in_key_order(pa.concat_arrays(groups))
+    word, sorted_words, shown = _in_key_order(pa.concat_arrays(words))
+    word = word + 1
+    group = np.repeat(names, np.concatenate(lengths))
     empty, stop = (pc.index(sorted_words, pa.scalar(s)).as_py() + 1 for s in ("", BREAK))
     real = word != empty if empty else np.ones(len(word), dtype=bool)
     word, group = word[real], group[real]
@@ -159,7 +218,7 @@ def _counted(groups, lengths, words, longest):
     columns = [group[starts]] + [c[starts] for c in columns]
     if not len(columns[0]):
         return
-    packed = _packed(columns, [len(names.dictionary)] + [len(sorted_words) + 1] * longest)
+    packed = _packed(columns, [len(named)] + [len(sorted_words) + 1] * longest)
     by = np.lexsort(packed[::-1])
     new = np.ones(len(by), dtype=bool)
     new[1:] = False
@@ -168,7 +227,6 @@ def _counted(groups, lengths, words, longest):
         new[1:] |= p[1:] != p[:-1]
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(by)))
-    shown, named = _escaped(sorted_words), _escaped(names.dictionary)
     for at in range(0, len(first), ROWS):
         rows = by[first[at:at + ROWS]]
         parts = [named.take(pa.array(columns[0][rows]))]
@@ -178,6 +236,16 @@ def _counted(groups, lengths, words, longest):
         yield pa.RecordBatch.from_arrays([key, pa.array(count[at:at + ROWS])], names=["key", "a"])
 
 
+def _in_key_order(values):
+    """The place of each value among the different ones, these themselves, and as keys show them."""
+    coded = values.dictionary_encode()
+    shown = _escaped(coded.dictionary)
+    order = pc.array_sort_indices(shown)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    return place[coded.indices.to_numpy()], coded.dictionary.take(order), shown.take(order)
+
+
 def _packed(columns, sizes):
     """The columns in as few 64-bit keys as hold them, in the same order."""
     out, bits = [], 64
