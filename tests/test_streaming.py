@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import json
+import os
 import random
 import time
 
@@ -19,6 +20,7 @@ from tideline.plans.traffic import visit_summary
 from tideline.sinks.upsert import read_upsert
 from tideline.streaming import gap
 from tideline.streaming.run import run_with_restarts, start_query
+from tideline.workload import streams as workload
 from tideline.workload.streams import replay, to_table
 
 ONCE = {"availableNow": True}
@@ -285,3 +287,30 @@ def test_replay_arrives_in_slices_of_event_time(spark, streams, folder):
     steps = [json.loads(line) for file in sorted(glob.glob(f"{folder}/checkpoint/sources/0/[0-9]*"))
              for line in open(file) if line.startswith("{")]
     assert len({step["batchId"] for step in steps}) == 4
+
+
+def test_slices_run_in_one_query_in_the_order_of_their_ranges(spark, streams, folder, monkeypatch):
+    """A restart for each slice would read the state of all slices before it again."""
+    starts = []
+    monkeypatch.setattr(workload, "start_query", lambda *a, **k: starts.append(1) or start_query(*a, **k))
+    rows = spark.range(400).selectExpr("timestamp_seconds(id * 37 % 400) AS t", "id % 7 AS n")
+    late = spark.sql("SELECT timestamp_seconds(9000) AS t, 0L AS n")
+    feed = replay(streams, workload.in_slices(4)(rows, "t"), f"{folder}/in", late, slices=4)
+    query = with_bounds(window_sum_all(with_event_time(feed, "t"), ("n",)), stamp=False)
+    out = to_table(spark, query, folder, feeds=[f"{folder}/in"])
+    want = with_bounds(window_sum_all(with_event_time(rows, "t"), ("n",)), stamp=False)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    assert len(starts) == 1
+    ages = [os.path.getmtime(part) for part in sorted(glob.glob(f"{folder}/in/part-*"))]
+    assert all(a < b for a, b in zip(ages, ages[1:]))
+
+
+def test_slices_follow_one_another_where_files_keep_no_age(spark, streams, folder, monkeypatch):
+    monkeypatch.setattr(workload, "age_parts", lambda *a: False)
+    rows = spark.range(400).selectExpr("timestamp_seconds(id * 37 % 400) AS t", "id % 7 AS n")
+    late = spark.sql("SELECT timestamp_seconds(9000) AS t, 0L AS n")
+    feed = replay(streams, workload.in_slices(4)(rows, "t"), f"{folder}/in", late, slices=4)
+    query = with_bounds(window_sum_all(with_event_time(feed, "t"), ("n",)), stamp=False)
+    out = to_table(spark, query, folder, feeds=[f"{folder}/in"])
+    want = with_bounds(window_sum_all(with_event_time(rows, "t"), ("n",)), stamp=False)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))

@@ -18,6 +18,30 @@ def make_folder(spark, path):
     fs.mkdirs(hadoop_path)
 
 
+def move_folder(spark, path, to):
+    fs, hadoop_path = _located(spark, path)
+    if not fs.rename(hadoop_path, _located(spark, to)[1]):
+        raise OSError(f"{path} cannot be moved to {to}")
+
+
+def age_parts(spark, path):
+    """Give the parts of a written folder ages in the order of their numbers, a second apart, the last
+    one the newest. False where the file system does not keep them.
+    """
+    fs, hadoop_path = _located(spark, path)
+
+    def parts():
+        found = [entry for entry in fs.listStatus(hadoop_path) if entry.getPath().getName().startswith("part-")]
+        return sorted(found, key=lambda entry: entry.getPath().getName())
+
+    written = parts()
+    newest_ms = max((entry.getModificationTime() for entry in written), default=0)
+    for back, entry in enumerate(reversed(written)):
+        fs.setTimes(entry.getPath(), newest_ms // 1000 * 1000 - back * 1000, -1)
+    ages = [entry.getModificationTime() for entry in parts()]
+    return all(a < b for a, b in zip(ages, ages[1:]))
+
+
 def publish_parts(spark, waiting, folder, together):
     """Move the next ``together`` parts of a written folder to another; False if none is left.
 

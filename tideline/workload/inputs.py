@@ -85,18 +85,30 @@ def order_times(spark, sf_dir):
     return joined.withColumn("created", _seconds_after(F.col("o_orderdate"), F.col("o_orderkey") % 20))
 
 
+def _detail_id():
+    return F.concat_ws("-", "l_orderkey", "l_linenumber")
+
+
 def order_lines(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     joined = lines.join(order_times(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
-    detail_id = F.concat_ws("-", "l_orderkey", "l_linenumber")
-    return joined.withColumn("detail_id", detail_id)
+    return joined.withColumn("detail_id", _detail_id())
+
+
+# What detail rows and changes are made of.
+LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                "l_shipdate")
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "c_nationkey")
+
 
+def order_detail(spark, sf_dir, arrange=None):
+    """The detail table; ``id`` comes several times, ordered by ``row_op_ts`` and part/supplier.
 
-def order_detail(spark, sf_dir):
-    """The detail table; ``id`` comes several times, ordered by ``row_op_ts`` and part/supplier."""
+    ``arrange`` deals the rows out by a time column; it gets them before they are texts.
+    """
     null = F.lit(None).cast("string")
     values = {
-        "id": F.col("detail_id"), "order_id": text("l_orderkey"), "user_id": text("o_custkey"),
+        "id": _detail_id(), "order_id": text("l_orderkey"), "user_id": text("o_custkey"),
         "sku_id": text("l_partkey"), "sku_name": F.concat(F.lit("sku-"), text("l_partkey")),
         "sku_num": text(F.col("l_quantity").cast("bigint")), "order_price": money("l_extendedprice"),
         "province_id": text("c_nationkey"), "activity_id": null, "activity_rule_id": null,
@@ -105,7 +117,10 @@ def order_detail(spark, sf_dir):
         "split_activity_amount": null, "split_coupon_amount": null,
         "split_total_amount": money("l_extendedprice"),
     }
-    return order_lines(spark, sf_dir).select(
+    lines = order_lines(spark, sf_dir).select(*LINE_COLUMNS, "o_custkey", "c_nationkey", "created")
+    if arrange:
+        lines = arrange(lines, "created")
+    return lines.select(
         *(values[c].alias(c) for c in ORDER_DETAIL_COLUMNS),
         F.concat(_when("l_shipdate"), F.lit("Z")).alias("row_op_ts"),
         F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"))
@@ -120,55 +135,81 @@ def sequence(ts, xid=None, xoffset=None):
     return F.array(*(c.cast("bigint") for c in given), *[F.lit(None).cast("bigint")] * 2)
 
 
-def _change(rows, name, kind, data, order):
-    pairs = [part for key, value in data.items() for part in (F.lit(key), value)]
-    return rows.select(
-        F.lit("shop").alias("database"), F.lit(name).alias("table"), kind.alias("type"),
-        F.create_map(*pairs).alias("data"),
-        F.create_map(F.lit("id"), list(data.values())[0]).alias("old"),
-        sequence(*order).alias("seq"))
+def _change_sources(spark, sf_dir):
+    """The lines and orders behind the changes: ``table``, the time ``at`` of the change, numbers and dates."""
+    orders, lines = order_times(spark, sf_dir), order_lines(spark, sf_dir)
+    extra = F.col("l_linenumber") + F.col("l_suppkey") % 8
+    sources = (
+        ("order_detail", lines, LINE_COLUMNS, F.col("l_linenumber")),
+        ("order_info", orders, ORDER_COLUMNS, None),
+        ("order_detail_activity", lines.where(F.col("l_linenumber") % 3 == 0), LINE_COLUMNS, extra),
+        ("order_detail_coupon", lines.where(F.col("l_returnflag") == "R"), LINE_COLUMNS, extra),
+        ("payment_info", orders, ORDER_COLUMNS, F.col("o_orderkey") % 1800),
+    )
+    out = None
+    for name, rows, columns, seconds in sources:
+        at = F.col("created") if seconds is None else _seconds_after(F.col("created"), seconds)
+        rows = rows.select(F.lit(name).alias("table"), at.alias("at"), *columns)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
-def trade_changelog(spark, sf_dir):
-    """Change-log rows of orders, details, activities, coupons and payments."""
-    orders, lines = order_times(spark, sf_dir), order_lines(spark, sf_dir)
+def trade_changelog(spark, sf_dir, arrange=None):
+    """Change-log rows of orders, details, activities, coupons and payments.
+
+    ``arrange`` deals them out by a time column; it gets them before they are maps of text.
+    """
     insert, update = F.lit("insert"), F.lit("update")
     version = F.unix_millis(F.col("l_shipdate").cast("timestamp")), F.col("l_partkey"), F.col("l_suppkey")
     order_version = F.lit(0), F.col("o_orderkey"), F.lit(0)
-    created = _when(_seconds_after(F.col("created"), F.col("l_linenumber")))
-    extra = _when(_seconds_after(F.col("created"), F.col("l_linenumber") + F.col("l_suppkey") % 8))
-    detail = _change(lines, "order_detail", insert, {
-        "id": F.col("detail_id"), "order_id": text("l_orderkey"), "sku_id": text("l_partkey"),
-        "sku_name": F.concat(F.lit("sku-"), text("l_partkey")), "order_price": money("l_extendedprice"),
-        "sku_num": text(F.col("l_quantity").cast("bigint")), "create_time": created,
-        "source_type": text(F.col("l_orderkey") % 6), "source_id": text("l_suppkey"),
-        "split_total_amount": money("l_extendedprice"), "noise": F.lit("x"),
-    }, version)
-    info = _change(orders, "order_info", insert, {
-        "id": text("o_orderkey"), "user_id": text("o_custkey"), "province_id": text("c_nationkey"),
-        "order_status": F.col("o_orderstatus"), "total_amount": money("o_totalprice"),
-        "create_time": _when("created"),
-    }, order_version)
-    activity = _change(lines.where(F.col("l_linenumber") % 3 == 0), "order_detail_activity", insert, {
-        "id": F.concat_ws("-", "detail_id", "l_partkey", "l_suppkey"), "order_id": text("l_orderkey"),
-        "order_detail_id": F.col("detail_id"), "activity_id": text("l_suppkey"),
-        "activity_rule_id": text(F.col("l_suppkey") % 10), "sku_id": text("l_partkey"), "create_time": extra,
-    }, version)
-    coupon = _change(lines.where(F.col("l_returnflag") == "R"), "order_detail_coupon", insert, {
-        "id": F.concat_ws("-", "detail_id", "l_partkey", "l_suppkey"), "order_id": text("l_orderkey"),
-        "order_detail_id": F.col("detail_id"), "coupon_id": text("l_partkey"),
-        "coupon_use_id": text(F.col("l_partkey") % 10), "sku_id": text("l_partkey"), "create_time": extra,
-    }, version)
-    payment = _change(orders, "payment_info", update, {
-        "id": text("o_orderkey"), "user_id": text("o_custkey"), "order_id": text("o_orderkey"),
-        "payment_type": text(F.col("o_orderkey") % 7),
-        "callback_time": _when(_seconds_after(F.col("created"), F.col("o_orderkey") % 1800)),
-        "payment_status": F.when(F.col("o_orderstatus") == "F", PAYMENT_SUCCESS).otherwise("1601"),
-    }, order_version)
-    rows = detail
-    for other in (info, activity, coupon, payment):
-        rows = rows.unionByName(other)
-    return rows
+    extra_id = F.concat_ws("-", _detail_id(), "l_partkey", "l_suppkey")
+    changes = {
+        "order_detail": (insert, version, {
+            "id": _detail_id(), "order_id": text("l_orderkey"), "sku_id": text("l_partkey"),
+            "sku_name": F.concat(F.lit("sku-"), text("l_partkey")), "order_price": money("l_extendedprice"),
+            "sku_num": text(F.col("l_quantity").cast("bigint")), "create_time": _when("at"),
+            "source_type": text(F.col("l_orderkey") % 6), "source_id": text("l_suppkey"),
+            "split_total_amount": money("l_extendedprice"), "noise": F.lit("x"),
+        }),
+        "order_info": (insert, order_version, {
+            "id": text("o_orderkey"), "user_id": text("o_custkey"), "province_id": text("c_nationkey"),
+            "order_status": F.col("o_orderstatus"), "total_amount": money("o_totalprice"),
+            "create_time": _when("at"),
+        }),
+        "order_detail_activity": (insert, version, {
+            "id": extra_id, "order_id": text("l_orderkey"),
+            "order_detail_id": _detail_id(), "activity_id": text("l_suppkey"),
+            "activity_rule_id": text(F.col("l_suppkey") % 10), "sku_id": text("l_partkey"),
+            "create_time": _when("at"),
+        }),
+        "order_detail_coupon": (insert, version, {
+            "id": extra_id, "order_id": text("l_orderkey"),
+            "order_detail_id": _detail_id(), "coupon_id": text("l_partkey"),
+            "coupon_use_id": text(F.col("l_partkey") % 10), "sku_id": text("l_partkey"),
+            "create_time": _when("at"),
+        }),
+        "payment_info": (update, order_version, {
+            "id": text("o_orderkey"), "user_id": text("o_custkey"), "order_id": text("o_orderkey"),
+            "payment_type": text(F.col("o_orderkey") % 7), "callback_time": _when("at"),
+            "payment_status": F.when(F.col("o_orderstatus") == "F", PAYMENT_SUCCESS).otherwise("1601"),
+        }),
+    }
+
+    def by_table(value):
+        chosen = F
+        for name, (kind, order, data) in changes.items():
+            chosen = chosen.when(F.col("table") == name, value(kind, order, data))
+        return chosen
+
+    rows = _change_sources(spark, sf_dir)
+    if arrange:
+        rows = arrange(rows, "at")
+    return rows.select(
+        F.lit("shop").alias("database"), "table", by_table(lambda kind, order, data: kind).alias("type"),
+        by_table(lambda kind, order, data: F.create_map(
+            *(part for key, value in data.items() for part in (F.lit(key), value)))).alias("data"),
+        by_table(lambda kind, order, data: F.create_map(F.lit("id"), data["id"])).alias("old"),
+        by_table(lambda kind, order, data: sequence(*order)).alias("seq"))
 
 
 def base_dic(spark, sf_dir):

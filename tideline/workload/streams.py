@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.functions.scalars import map_get
-from tideline.functions.time import DATE_TIME, row_time, text_to_timestamp
+from tideline.functions.time import DATE_TIME, row_time
 from tideline.operators import dedup
 from tideline.operators.bounce import bounces
 from tideline.operators.lookup import lookup_chain
@@ -20,9 +19,9 @@ from tideline.plans import jobs, traffic, trade
 from tideline.plans.left_join import left_join_upsert
 from tideline.schemas import (
     ORDER_DETAIL_COLUMNS, PAY_DETAIL_COLUMNS, PAYMENT_SUCCESS, TABLE_PROCESS_TOPIC, TOPIC_DB, dimension_schema)
-from tideline.session import stream_session, work_dir
+from tideline.session import IN_MEMORY, REMOVE_SHUFFLES, setting, stream_session, work_dir
 from tideline.sinks.dimension import read_dimension
-from tideline.sinks.files import make_folder, publish_parts
+from tideline.sinks.files import age_parts, make_folder, move_folder, publish_parts
 from tideline.sinks.topics import write_json_topic
 from tideline.sinks.upsert import read_upsert
 from tideline.streaming.run import run_with_restarts, start_query
@@ -34,30 +33,50 @@ LATER_MS = 90 * 86_400_000
 ONCE = {"availableNow": True}
 
 
-# Lines of orders that arrive at once, and the files they come in.
+# Lines of orders that arrive at once, and the files they come in. Joins bounded in time hold
+# about two slices, in memory.
 SLICE_LINES = 4_000_000
+JOIN_LINES = 1_000_000
 SLICE_FILES = 8
 
 
-def slices_of(spark, sf):
+def slices_of(spark, sf, lines=None):
     """The number of slices that the rows derived from the lines of orders arrive in."""
-    return max(1, -(-inputs.table(spark, sf, "lineitem").count() // SLICE_LINES))
+    return max(1, -(-inputs.table(spark, sf, "lineitem").count() // (lines or SLICE_LINES)))
+
+
+def in_slices(slices):
+    """Deals rows out by ranges of a time column, for ``replay``; None for a single slice."""
+    if slices > 1:
+        return lambda rows, time: rows.repartitionByRange(slices * SLICE_FILES, time)
 
 
 def replay(session, df, folder, closing=None, time=None, slices=1):
     """Write ``df``, and the closing row, and read them as a stream.
 
-    With several ``slices`` the rows are dealt by ranges of their event ``time``. The first
-    slice is there at once, ``to_table`` lets the others follow.
+    With several ``slices`` the rows are dealt by ranges of their event ``time``, or were dealt
+    by ``in_slices`` before if there is none. A file stream reads by age, so the files get
+    ages in the order of their ranges, and one query takes a slice in each micro-batch. Where
+    the file system does not keep ages, the first slice is there at once and ``to_table``
+    lets the others follow.
     """
     rows = df if closing is None else df.unionByName(closing)
-    if slices > 1:
-        rows.repartitionByRange(slices * SLICE_FILES, time).write.parquet(f"{folder}-waiting")
+    stream = session.readStream.schema(rows.schema)
+    if slices == 1:
+        rows.write.parquet(folder, compression="zstd")
+        return stream.parquet(folder)
+    if time is not None:
+        rows = rows.repartitionByRange(slices * SLICE_FILES, time)
+    # Shuffle files go with the query that made them, here and in each micro-batch.
+    session.conf.set(REMOVE_SHUFFLES, "true")
+    with setting(rows.sparkSession, REMOVE_SHUFFLES, "true"):
+        rows.write.parquet(f"{folder}-waiting", compression="zstd")
+    if age_parts(session, f"{folder}-waiting"):
+        move_folder(session, f"{folder}-waiting", folder)
+    else:
         make_folder(session, folder)
         publish_parts(session, f"{folder}-waiting", folder, SLICE_FILES)
-    else:
-        rows.write.parquet(folder)
-    return session.readStream.schema(rows.schema).parquet(folder)
+    return stream.option("maxFilesPerTrigger", SLICE_FILES).parquet(folder)
 
 
 def to_table(spark, df, folder, trigger=None, feeds=()):
@@ -104,15 +123,18 @@ def _closing_time(df, column):
         F.date_format("_t", DATE_TIME).alias(column))
 
 
-def detail_stream(spark, session, sf, folder):
-    details = inputs.order_detail(spark, sf)
-    closing = _shaped(_closing_time(details, "create_time").withColumn("id", F.lit(END)), details.schema)
-    return replay(session, details, folder, closing, text_to_timestamp("create_time"), slices_of(spark, sf))
+def detail_stream(spark, session, sf, folder, lines=None):
+    slices = slices_of(spark, sf, lines)
+    details = inputs.order_detail(spark, sf, in_slices(slices))
+    last = _closing_time(inputs.order_detail(spark, sf), "create_time")
+    closing = _shaped(last.withColumn("id", F.lit(END)), details.schema)
+    return replay(session, details, folder, closing, slices=slices)
 
 
 def change_stream(spark, session, sf, folder, tables):
     """The trade change log, closed by one row per table."""
-    changes = inputs.trade_changelog(spark, sf)
+    slices = slices_of(spark, sf, JOIN_LINES)
+    changes = inputs.trade_changelog(spark, sf, in_slices(slices))
     orders = inputs.order_times(spark, sf)
     later = orders.agg((F.max("created") + F.expr("INTERVAL 90 DAYS")).alias("_t"))
     later = later.select(F.date_format("_t", DATE_TIME).alias("_t"))
@@ -125,8 +147,7 @@ def change_stream(spark, session, sf, folder, tables):
         row = _shaped(later.select(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                                    F.lit(kind).alias("type"), data.alias("data")), changes.schema)
         closing = row if closing is None else closing.unionByName(row)
-    time = F.coalesce(*(text_to_timestamp(map_get("data", c)) for c in ("create_time", "callback_time")))
-    return replay(session, changes, folder, closing, time, slices_of(spark, sf))
+    return replay(session, changes, folder, closing, slices=slices)
 
 
 ORDER_TABLES = tuple((name, "insert") for name in (
@@ -184,7 +205,7 @@ def stream_login_returning_gap3_10s(spark, sf):
 # --- trade ----------------------------------------------------------------------------
 
 def stream_order_detail_wide(spark, sf):
-    session, folder = stream_session(spark), work_dir(spark, "stream")
+    session, folder = stream_session(spark, state=IN_MEMORY), work_dir(spark, "stream")
     changes = change_stream(spark, session, sf, f"{folder}/in", ORDER_TABLES)
     joined = to_table(spark, trade.joined_changes(changes, database="shop").drop("event_time"), folder,
                       feeds=[f"{folder}/in"])
@@ -192,9 +213,9 @@ def stream_order_detail_wide(spark, sf):
 
 
 def stream_pay_detail_success(spark, sf):
-    session, folder = stream_session(spark), work_dir(spark, "stream")
+    session, folder = stream_session(spark, state=IN_MEMORY), work_dir(spark, "stream")
     changes = change_stream(spark, session, sf, f"{folder}/in", (("payment_info", "update"),))
-    details = detail_stream(spark, session, sf, f"{folder}/details")
+    details = detail_stream(spark, session, sf, f"{folder}/details", JOIN_LINES)
     joined = trade.joined_payments(changes, details).drop("event_time", "od_event_time")
     paid = to_table(spark, joined, folder, feeds=[f"{folder}/in", f"{folder}/details"])
     named = trade.name_payment_type(paid, inputs.base_dic(spark, sf))
