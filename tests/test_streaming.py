@@ -17,10 +17,11 @@ from tideline.operators.bounce import bounces
 from tideline.operators.windows import window_sum_all, with_bounds, with_event_time
 from tideline.plans.left_join import left_join_batch
 from tideline.plans.traffic import visit_summary
+from tideline.session import stream_session
 from tideline.sinks.upsert import read_upsert
 from tideline.streaming import gap
 from tideline.streaming.run import run_with_restarts, start_query
-from tideline.workload import streams as workload
+from tideline.workload import inputs, streams as workload
 from tideline.workload.streams import replay, to_table
 
 ONCE = {"availableNow": True}
@@ -314,3 +315,44 @@ def test_slices_follow_one_another_where_files_keep_no_age(spark, streams, folde
     out = to_table(spark, query, folder, feeds=[f"{folder}/in"])
     want = with_bounds(window_sum_all(with_event_time(rows, "t"), ("n",)), stamp=False)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(n).getName() for n in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_micro_batch(spark, folder):
+    session = stream_session(spark)
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    before = _shuffle_files(spark)
+    rows = spark.range(400).selectExpr("timestamp_seconds(id) AS t", "id % 7 AS n")
+    feed = replay(session, workload.in_slices(2)(rows, "t"), f"{folder}/in", slices=2)
+    to_table(spark, with_bounds(window_sum_all(with_event_time(feed, "t"), ("n",)), stamp=False), folder)
+    for _ in range(50):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert glob.glob(f"{folder}/in/*.zstd.parquet")
+
+
+def test_closing_row_reads_no_lines(spark, folder, monkeypatch):
+    """The rows are joined once, to be written; the last time is that of the orders."""
+    sql = spark.sql
+    tables = {
+        "customer": sql("SELECT 1L AS c_custkey, 3L AS c_nationkey"),
+        "orders": sql("SELECT 5L AS o_orderkey, 1L AS o_custkey, 'F' AS o_orderstatus, 1D AS o_totalprice, "
+                      "timestamp_ntz'1995-01-01 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority"),
+        "lineitem": sql("SELECT 5L AS l_orderkey, 1 AS l_linenumber, 7L AS l_partkey, 9L AS l_suppkey, 2D AS l_quantity, "
+                        "1D AS l_extendedprice, 'R' AS l_returnflag, timestamp_ntz'1995-02-01 00:00:00' AS l_shipdate"),
+    }
+    calls, order_lines = [], inputs.order_lines
+    monkeypatch.setattr(inputs, "table", lambda spark, sf, name: tables[name])
+    monkeypatch.setattr(inputs, "order_lines", lambda *a: calls.append(1) or order_lines(*a))
+    workload.detail_stream(spark, stream_session(spark), None, f"{folder}/in")
+    found = spark.read.parquet(f"{folder}/in").select("id", "create_time").collect()
+    assert sorted(map(tuple, found)) == [("5-1", "1995-01-01 00:00:05"), (workload.END, "1995-04-01 00:00:05")]
+    assert len(calls) == 1

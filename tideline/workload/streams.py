@@ -117,16 +117,22 @@ def _closing_page(pages, name, later):
     return last.select(common.alias("common"), page.alias("page"), "ts", "arrival")
 
 
+def _later(df, time):
+    """Date-time text ``_t`` well after the last ``time``."""
+    return df.agg((F.max(time) + F.expr("INTERVAL 90 DAYS")).alias("_t")).select(
+        F.date_format("_t", DATE_TIME).alias("_t"))
+
+
 def _closing_time(df, column):
     """Date-time text well after the last in ``column``."""
-    return df.agg((F.max(F.to_timestamp(column, DATE_TIME)) + F.expr("INTERVAL 90 DAYS")).alias("_t")).select(
-        F.date_format("_t", DATE_TIME).alias(column))
+    return _later(df, F.to_timestamp(column, DATE_TIME)).select(F.col("_t").alias(column))
 
 
 def detail_stream(spark, session, sf, folder, lines=None):
     slices = slices_of(spark, sf, lines)
     details = inputs.order_detail(spark, sf, in_slices(slices))
-    last = _closing_time(inputs.order_detail(spark, sf), "create_time")
+    # No line is later than the last order; reading the lines only for that costs their join once more.
+    last = _later(inputs.order_times(spark, sf), "created").select(F.col("_t").alias("create_time"))
     closing = _shaped(last.withColumn("id", F.lit(END)), details.schema)
     return replay(session, details, folder, closing, slices=slices)
 
@@ -135,9 +141,7 @@ def change_stream(spark, session, sf, folder, tables):
     """The trade change log, closed by one row per table."""
     slices = slices_of(spark, sf, JOIN_LINES)
     changes = inputs.trade_changelog(spark, sf, in_slices(slices))
-    orders = inputs.order_times(spark, sf)
-    later = orders.agg((F.max("created") + F.expr("INTERVAL 90 DAYS")).alias("_t"))
-    later = later.select(F.date_format("_t", DATE_TIME).alias("_t"))
+    later = _later(inputs.order_times(spark, sf), "created")
     closing = None
     for name, kind in tables:
         keys = ("id", "order_id", "order_detail_id", "source_type", "payment_type")
@@ -215,7 +219,7 @@ def stream_order_detail_wide(spark, sf):
 def stream_pay_detail_success(spark, sf):
     session, folder = stream_session(spark, state=IN_MEMORY), work_dir(spark, "stream")
     changes = change_stream(spark, session, sf, f"{folder}/in", (("payment_info", "update"),))
-    details = detail_stream(spark, session, sf, f"{folder}/details", JOIN_LINES)
+    details = detail_stream(spark, session, sf, f"{folder}/details", JOIN_LINES).drop(*TIE)
     joined = trade.joined_payments(changes, details).drop("event_time", "od_event_time")
     paid = to_table(spark, joined, folder, feeds=[f"{folder}/in", f"{folder}/details"])
     named = trade.name_payment_type(paid, inputs.base_dic(spark, sf))
