@@ -21,7 +21,7 @@ from tideline.session import stream_session
 from tideline.sinks.upsert import read_upsert
 from tideline.streaming import gap
 from tideline.streaming.run import run_with_restarts, start_query
-from tideline.workload import inputs, streams as workload
+from tideline.workload import batch, inputs, streams as workload
 from tideline.workload.streams import replay, to_table
 
 ONCE = {"availableNow": True}
@@ -339,20 +339,38 @@ def test_shuffle_files_go_with_the_micro_batch(spark, folder):
     assert glob.glob(f"{folder}/in/*.zstd.parquet")
 
 
-def test_closing_row_reads_no_lines(spark, folder, monkeypatch):
-    """The rows are joined once, to be written; the last time is that of the orders."""
+def _tables(spark):
     sql = spark.sql
-    tables = {
+    return {
         "customer": sql("SELECT 1L AS c_custkey, 3L AS c_nationkey"),
         "orders": sql("SELECT 5L AS o_orderkey, 1L AS o_custkey, 'F' AS o_orderstatus, 1D AS o_totalprice, "
                       "timestamp_ntz'1995-01-01 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority"),
         "lineitem": sql("SELECT 5L AS l_orderkey, 1 AS l_linenumber, 7L AS l_partkey, 9L AS l_suppkey, 2D AS l_quantity, "
                         "1D AS l_extendedprice, 'R' AS l_returnflag, timestamp_ntz'1995-02-01 00:00:00' AS l_shipdate"),
     }
-    calls, order_lines = [], inputs.order_lines
+
+
+def test_closing_row_reads_no_lines(spark, folder, monkeypatch):
+    """The rows are joined once, to be written; the last time is that of the orders."""
+    tables, calls, order_lines = _tables(spark), [], inputs.order_lines
     monkeypatch.setattr(inputs, "table", lambda spark, sf, name: tables[name])
     monkeypatch.setattr(inputs, "order_lines", lambda *a: calls.append(1) or order_lines(*a))
     workload.detail_stream(spark, stream_session(spark), None, f"{folder}/in")
     found = spark.read.parquet(f"{folder}/in").select("id", "create_time").collect()
     assert sorted(map(tuple, found)) == [("5-1", "1995-01-01 00:00:05"), (workload.END, "1995-04-01 00:00:05")]
     assert len(calls) == 1
+
+
+def test_upsert_of_details_leaves_no_shuffle_files(spark, monkeypatch):
+    tables = _tables(spark)
+    monkeypatch.setattr(inputs, "table", lambda spark, sf, name: tables[name])
+    monkeypatch.setattr(inputs, "base_dic", lambda *a: spark.sql("SELECT '5' AS dic_code, 'five' AS dic_name"))
+    before = _shuffle_files(spark)
+    found = batch.order_detail_upsert(spark, None)
+    for _ in range(50):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert [(r.id, r.user_id, r.coupon_id, r.source_type_name) for r in found.collect()] == [("5-1", "1", "7", "five")]
